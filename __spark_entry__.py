@@ -16,7 +16,7 @@ from installarc.operators.timeline import asof_join, interval_join
 from installarc.plans import attribution, cohorts, purchases, reference, revenue, sessions, subscriptions
 from installarc.settings import MartConfig, RunWindow, prepare
 from installarc.sources.sample import BASE_TABLES, Sample
-from installarc.sources.tables import replace_days, replace_partitions, work_dir
+from installarc.sources.tables import Staging, replace_days, replace_partitions, work_dir
 
 FIRST_DAY, RUN_DATE = date(2024, 1, 1), date(2024, 2, 1)
 LAST_DAY = date(2024, 1, 31)
@@ -42,6 +42,14 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.raw = Sample(prepare(spark), sf_dir)
+        self.stage = Staging(spark)
+        self._stored: dict[str, DataFrame] = {}
+
+    def stored(self, name: str) -> DataFrame:
+        """An input that several steps of one query read, as a staged table."""
+        if name not in self._stored:
+            self._stored[name] = self.stage(getattr(self, name)())
+        return self._stored[name]
 
     def lifetimes(self) -> DataFrame:
         return attribution.install_lifetimes(self.raw["installs"])
@@ -50,7 +58,9 @@ class Inputs:
         return sessions.sessions(self.raw["session_events"])
 
     def activity(self) -> DataFrame:
-        return sessions.activity_daily(self.sessions(), self.lifetimes(), RUN_DATE)
+        return sessions.activity_daily(
+            self.sessions(), self.stored("lifetimes"), RUN_DATE, CONFIG.run_ts, self.stage
+        )
 
     def ad_daily(self) -> DataFrame:
         return revenue.ad_user_daily(self.raw["ad_primary"], self.raw["ad_history"])
@@ -93,27 +103,27 @@ class Inputs:
         return revenue.ua_costs([a, b], self.rates(), FIRST_DAY, LAST_DAY)
 
     def users(self) -> DataFrame:
-        return cohorts.cohort_users(self.lifetimes(), CONFIG)
+        return cohorts.cohort_users(self.stored("lifetimes"), CONFIG)
 
     def daily(self, window: RunWindow = FULL) -> DataFrame:
         return cohorts.lifetime_activity_daily(
-            self.activity(),
+            self.stored("activity"),
             self.raw["inapp"],
             self.raw["subscription"],
-            self.ad_daily(),
-            self.lifetimes(),
+            self.stored("ad_daily"),
+            self.stored("lifetimes"),
             window,
             CONFIG,
         )
 
     def long(self) -> DataFrame:
-        return cohorts.cohort_long(self.users(), self.costs(), self.daily(), CONFIG)
+        return cohorts.cohort_long(self.users(), self.costs(), self.stored("daily"), CONFIG)
 
     def payers(self) -> DataFrame:
         return cohorts.payers(self.users(), self.raw["inapp"], self.raw["subscription"], CONFIG)
 
     def utn(self) -> DataFrame:
-        return cohorts.cohort_activity_utn(self.daily(), CONFIG)
+        return cohorts.cohort_activity_utn(self.stored("daily"), CONFIG)
 
     def revenue(self) -> DataFrame:
         raw = self.raw
@@ -139,10 +149,11 @@ class Inputs:
             self.sessions(),
             FIRST_DAY,
             LAST_DAY,
+            self.stage,
         )
 
     def refunds(self) -> DataFrame:
-        return purchases.inapp_refunds(self.staged(), self.raw["refund_candidates"])
+        return purchases.inapp_refunds(self.stored("staged"), self.raw["refund_candidates"])
 
     def stream(self) -> DataFrame:
         raw = self.raw
@@ -163,14 +174,14 @@ class Inputs:
 
 def asof_query(inp: Inputs) -> DataFrame:
     payload = ["user_lifetime_id", "install_time", "lifetime_end_time"]
-    found = asof_join(inp.raw["inapp"], inp.lifetimes(), USER, "event_time", "install_time", payload)
+    found = asof_join(inp.raw["inapp"], inp.stored("lifetimes"), USER, "event_time", "install_time", payload)
     return found.select(*USER, "event_name", "event_time", "price", *payload)
 
 
 def interval_query(inp: Inputs) -> DataFrame:
     found = interval_join(
         inp.raw["inapp"],
-        inp.lifetimes(),
+        inp.stored("lifetimes"),
         USER,
         "event_time",
         "install_time",
@@ -181,8 +192,8 @@ def interval_query(inp: Inputs) -> DataFrame:
 
 
 def date_range_query(inp: Inputs) -> DataFrame:
-    users = cohorts.window_lifetimes(inp.lifetimes(), None, FULL, CONFIG)
-    rows = cohorts.ad_rows(inp.ad_daily(), FULL, CONFIG)
+    users = cohorts.window_lifetimes(inp.stored("lifetimes"), None, FULL, CONFIG)
+    rows = cohorts.ad_rows(inp.stored("ad_daily"), FULL, CONFIG)
     found = cohorts.match_by_day(rows, users, ["user_lifetime_id"], "install_time")
     return found.select(
         "event_date", "application", "client_id", "user_lifetime_id", "ad_impressions", "ad_revenue_gross"
@@ -192,12 +203,12 @@ def date_range_query(inp: Inputs) -> DataFrame:
 def active_lifetimes_query(inp: Inputs) -> DataFrame:
     window = RunWindow(run_date=date(2024, 1, 20))
     frames = [
-        cohorts.activity_rows(inp.activity(), window, CONFIG),
+        cohorts.activity_rows(inp.stored("activity"), window, CONFIG),
         cohorts.inapp_rows(inp.raw["inapp"], window, CONFIG),
         cohorts.subscription_rows(inp.raw["subscription"], window, CONFIG),
-        cohorts.ad_rows(inp.ad_daily(), window, CONFIG),
+        cohorts.ad_rows(inp.stored("ad_daily"), window, CONFIG),
     ]
-    return cohorts.window_lifetimes(inp.lifetimes(), cohorts.window_clients(frames), window, CONFIG)
+    return cohorts.window_lifetimes(inp.stored("lifetimes"), cohorts.window_clients(frames), window, CONFIG)
 
 
 def price_query(inp: Inputs) -> DataFrame:
@@ -219,7 +230,7 @@ def rate_lookup_query(inp: Inputs) -> DataFrame:
 
 def dimension_query(inp: Inputs) -> DataFrame:
     nations = inp.raw["nation"].select(F.col("n_name").alias("country_code"), "n_nationkey", "n_regionkey")
-    located = attach(inp.lifetimes(), nations, "country_code")
+    located = attach(inp.stored("lifetimes"), nations, "country_code")
     regions = inp.raw["region"].select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     return (
         attach(located, regions, "n_regionkey", {"r_name": "unknown"})
@@ -247,7 +258,7 @@ def json_query(inp: Inputs) -> DataFrame:
 
 
 def first_24h_query(inp: Inputs) -> DataFrame:
-    return sessions.first_24h(inp.raw["session_events"], inp.lifetimes())
+    return sessions.first_24h(inp.raw["session_events"], inp.stored("lifetimes"))
 
 
 def source_compare_query(inp: Inputs) -> DataFrame:
@@ -297,7 +308,7 @@ def upsert_query(inp: Inputs) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
-    "scd2_lifetimes": lambda i: attribution.install_lifetimes(i.attribution_events()),
+    "scd2_lifetimes": lambda i: attribution.install_lifetimes(i.stored("attribution_events")),
     "asof_join": asof_query,
     "interval_join": interval_query,
     "date_range_join": date_range_query,
@@ -314,16 +325,16 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "sessions": Inputs.sessions,
     "activity_daily": Inputs.activity,
     "user_profile": lambda i: attribution.user_profile(
-        i.attribution_events(), attribution.first_seen(i.raw["session_events"])
+        i.stored("attribution_events"), attribution.first_seen(i.raw["session_events"])
     ),
     "first_seen": lambda i: attribution.first_seen(i.raw["session_events"]),
     "inapp_staged": Inputs.staged,
     "inapp_refunds": Inputs.refunds,
-    "inapp_fact": lambda i: purchases.inapp_fact(i.staged(), i.refunds()),
+    "inapp_fact": lambda i: purchases.inapp_fact(i.stored("staged"), i.refunds()),
     "subscription_stream": Inputs.stream,
     "subscription_context": Inputs.context,
     "subscription_fact": lambda i: subscriptions.subscription_fact(
-        i.stream(), i.context(), i.lifetimes(), i.rates(), i.raw["fees"], FIRST_DAY, LAST_DAY
+        i.stream(), i.context(), i.stored("lifetimes"), i.rates(), i.raw["fees"], FIRST_DAY, LAST_DAY, i.stage
     ),
     "rates_scd2": Inputs.rates,
     "rate_lookup": rate_lookup_query,

@@ -135,7 +135,7 @@ FROM session_events GROUP BY ALL
 """
 
 CTES["activity"] = f"""
-SELECT d.*, 1 AS is_active,
+SELECT d.*, 1 AS is_active, TIMESTAMP '2024-02-01 00:00:00' AS updated_at_utc,
   CASE WHEN u.lifetime_end_time IS NULL OR d.last_session_end_utc < u.lifetime_end_time THEN u.install_device_name END AS install_device_name,
   CASE WHEN u.lifetime_end_time IS NULL OR d.last_session_end_utc < u.lifetime_end_time THEN u.install_device_type END AS install_device_type
 FROM (
@@ -547,7 +547,7 @@ def _rate(alias, day):
 CTES["staged"] = f"""
 SELECT s.*, CASE WHEN client_id <> '' THEN cast(row_number() OVER (PARTITION BY app_name, client_id ORDER BY event_time, transaction_id) AS INTEGER) END AS purchase_number
 FROM ({_in_session(f'''(
-  SELECT p.app_name, p.transaction_id, p.client_id, upper({_platform('p.platform')}) AS platform, p.country, p.event_time,
+  SELECT p.app_name, p.transaction_id, nullif(p.client_id, '') AS client_id, upper({_platform('p.platform')}) AS platform, p.country, p.event_time,
     p.source, {_unit_price('p.source', 'p.price', 'p.takehome_percentage')} AS local_price, p.currency, p.product_id, d.product_id_type,
     f.vat_income_multiplier, r.value AS currency_rates_denominator,
     (EXISTS (SELECT 1 FROM validations v WHERE v.app_name = p.app_name AND v.transaction_id = p.transaction_id))::INT AS validator_matched

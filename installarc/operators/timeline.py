@@ -14,13 +14,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HIT, SIDE, CHUNK, AT = "_hit", "_side", "_chunk", "_at"
+HIT, SIDE, CHUNK, AT, SPREAD = "_hit", "_side", "_chunk", "_at", "_spread"
 
 
 def _chunk_of(time: Column, unit: str) -> Column:
     return F.date_trunc(unit, time)
 
 
+def _all_known(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
+def _spread(complete: Column, columns: Sequence[str]) -> Column:
+    """Group part that scatters rows without a key, which would otherwise share one group."""
+    return F.when(complete, F.lit(0).cast("long")).otherwise(F.xxhash64(*columns))
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -41,22 +50,21 @@ def asof_join(
     """
     keys, payload, tie_break = list(keys), list(payload), list(tie_break)
     ties = [f"_tie{i}" for i in range(len(tie_break))]
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, left_time]])
+    complete = _all_known([*keys, left_time])
 
-    starts = right.filter(F.col(right_time).isNotNull()).select(
+    starts = right.filter(_all_known([*keys, right_time])).select(
         *keys,
         F.col(right_time).alias(AT),
         _chunk_of(F.col(right_time), chunk).alias(CHUNK),
         *[F.col(c).alias(t) for c, t in zip(tie_break, ties)],
         F.struct(*payload).alias(HIT),
     )
-    events = left.filter(complete).withColumns(
-        {AT: F.col(left_time), CHUNK: _chunk_of(F.col(left_time), chunk)}
-    )
+    events = left.filter(complete) if how == "inner" else left
+    events = events.withColumns({AT: F.col(left_time), CHUNK: _chunk_of(F.col(left_time), chunk)})
 
     # What is in force when a chunk opens: the last start of any earlier chunk.
     # One row per (key, chunk) on both sides, so the window over a key stays short.
-    asked = events.select(*keys, CHUNK).distinct().withColumn(SIDE, F.lit(0))
+    asked = events.filter(complete).select(*keys, CHUNK).distinct().withColumn(SIDE, F.lit(0))
     heads = starts.groupBy(*keys, CHUNK).agg(
         F.max_by(F.struct(HIT, AT, *ties), F.struct(AT, *ties)).alias("_head")
     ).withColumn(SIDE, F.lit(1))
@@ -75,21 +83,21 @@ def asof_join(
     # Starts sort before events of the same instant: the match includes equality.
     rows = (
         starts.unionByName(opening)
-        .withColumn(SIDE, F.lit(0))
-        .unionByName(events.withColumn(SIDE, F.lit(1)), allowMissingColumns=True)
+        .withColumns({SIDE: F.lit(0), SPREAD: F.lit(0).cast("long")})
+        .unionByName(
+            events.withColumns({SIDE: F.lit(1), SPREAD: _spread(complete, left.columns)}),
+            allowMissingColumns=True,
+        )
     )
     so_far = (
-        Window.partitionBy(*keys, CHUNK)
+        Window.partitionBy(*keys, CHUNK, SPREAD)
         .orderBy(AT, SIDE, *ties)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     matched = rows.withColumn(HIT, F.last(HIT, ignorenulls=True).over(so_far)).filter(F.col(SIDE) == 1)
     if how == "inner":
         matched = matched.filter(F.col(HIT).isNotNull())
-    result = matched.select(*left.columns, *[F.col(f"{HIT}.{c}").alias(c) for c in payload])
-    if how == "inner":
-        return result
-    return result.unionByName(left.filter(~complete), allowMissingColumns=True)
+    return matched.select(*left.columns, *[F.col(f"{HIT}.{c}").alias(c) for c in payload])
 
 
 def interval_join(
@@ -131,13 +139,16 @@ def sequence_rows(
     """Number the rows of a key in time order and look up the next row's time.
 
     Chunks are numbered locally; the count of all earlier chunks is added. The last
-    row of a chunk takes the first time of the next chunk.
+    row of a chunk takes the first time of the next chunk. Rows with a NULL key or time
+    get NULLs.
     """
     keys = list(keys)
+    complete = _all_known([*keys, time])
     tagged = df.withColumn(CHUNK, _chunk_of(F.col(time), chunk))
     over_chunks = Window.partitionBy(*keys).orderBy(CHUNK)
     totals = (
-        tagged.groupBy(*keys, CHUNK)
+        tagged.filter(complete)
+        .groupBy(*keys, CHUNK)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_first"))
         .select(
             *keys,
@@ -148,10 +159,17 @@ def sequence_rows(
             F.lead("_first").over(over_chunks).alias("_next"),
         )
     )
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(time, *tie_break)
+    scattered = tagged.withColumn(SPREAD, _spread(complete, df.columns))
+    inside = Window.partitionBy(*keys, CHUNK, SPREAD).orderBy(time, *tie_break)
     added = {}
     if number:
+        # NULL for rows without a key: nothing precedes them, not even zero rows.
         added[number] = (F.col("_before") + F.row_number().over(inside)).cast("int")
     if next_time:
-        added[next_time] = F.coalesce(F.lead(time).over(inside), F.col("_next"))
-    return tagged.join(totals, [*keys, CHUNK]).withColumns(added).drop(CHUNK, "_before", "_next")
+        later = F.coalesce(F.lead(time).over(inside), F.col("_next"))
+        added[next_time] = F.when(F.col("_before").isNotNull(), later)
+    return (
+        scattered.join(totals, [*keys, CHUNK], "left")
+        .withColumns(added)
+        .drop(CHUNK, SPREAD, "_before", "_next")
+    )

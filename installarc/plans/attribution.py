@@ -85,7 +85,10 @@ def attribution_events(installs: DataFrame, reinstalls: DataFrame) -> DataFrame:
 
 
 def install_lifetimes(events: DataFrame) -> DataFrame:
-    """SCD2 lifetimes: each attribution event opens one and the next event closes it."""
+    """SCD2 lifetimes: each attribution event opens one and the next event closes it.
+
+    ``events`` is read twice: for the counts per user and hour, and for the rows.
+    """
     numbered = sequence_rows(
         events.filter(F.col("client_id").isNotNull()),
         USER,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from installarc.functions import dims, events
 from installarc.functions.money import money, price_gross_usd, price_usd
 from installarc.operators.lookup import attach, flag_matches, rate_lookup, session_match
-from installarc.operators.shape import one_per_key, padded_union
+from installarc.operators.shape import one_per_key
 from installarc.operators.timeline import sequence_rows
+from installarc.sources.tables import as_is
 
 USER = ["app_name", "client_id"]
 TX = ["app_name", "transaction_id"]
@@ -26,13 +28,23 @@ def inapp_staged(
     sessions: DataFrame,
     first_day: date,
     last_day: date,
+    stage: Callable[[DataFrame], DataFrame] = as_is,
 ) -> DataFrame:
     """Purchase rows, one per transaction, with price, product, session and check flag.
 
     ``fees`` holds the net multiplier per platform and country (store fee and VAT).
+    Rows are staged once without copies and once enriched, because numbering and
+    session matching each read their input twice.
     """
-    once = one_per_key(purchases, TX, ["event_time", "version"], keep="first")
-    priced = once.withColumns(
+    once = stage(one_per_key(purchases, TX, ["event_time", "version"], keep="first"))
+    numbered = sequence_rows(
+        once.withColumn("client_id", F.nullif("client_id", F.lit(""))),
+        USER,
+        "event_time",
+        number="purchase_number",
+        tie_break=["transaction_id"],
+    )
+    priced = numbered.withColumns(
         {
             "platform": dims.store_label_of(F.col("platform")),
             "local_price": events.source_price(F.col("source"), F.col("price"), F.col("takehome_percentage")),
@@ -42,12 +54,7 @@ def inapp_staged(
     enriched = attach(enriched, fees.select("platform", "country", "vat_income_multiplier"), ["platform", "country"])
     enriched = rate_lookup(enriched, rates, "currency", F.to_date("event_time"), first_day, last_day)
     enriched = flag_matches(enriched, validations, TX, "validator_matched")
-    enriched = session_match(enriched, sessions, USER, "event_time")
-    with_user = dims.usable_client(F.col("client_id"))
-    numbered = sequence_rows(
-        enriched.filter(with_user), USER, "event_time", number="purchase_number", tie_break=["transaction_id"]
-    )
-    return numbered.unionByName(enriched.filter(~with_user), allowMissingColumns=True)
+    return session_match(stage(enriched), sessions, USER, "event_time")
 
 
 def inapp_refunds(staged: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -91,14 +98,10 @@ def inapp_fact(staged: DataFrame, refunds: DataFrame) -> DataFrame:
     marked = attach(
         valid, refunds.select(*TX, "refund_ind", "refund_time", "refund_transaction_id"), TX, {"refund_ind": 0}
     )
-    rows = padded_union(
-        [
-            marked.withColumn("event_name", F.lit("purchase")),
-            marked.filter(F.col("refund_ind") == 1).withColumns(
-                {"event_name": F.lit("refund"), "event_time": F.col("refund_time")}
-            ),
-        ]
-    )
+    sold = F.struct(F.lit("purchase").alias("event_name"), F.col("event_time").alias("_at"))
+    taken_back = F.struct(F.lit("refund").alias("event_name"), F.col("refund_time").alias("_at"))
+    moments = F.array_compact(F.array(sold, F.when(F.col("refund_ind") == 1, taken_back)))
+    rows = marked.select("*", F.inline(moments)).drop("event_time").withColumnRenamed("_at", "event_time")
     first_days = valid.groupBy(*USER).agg(F.min(F.to_date("event_time")).alias("_first_day"))
     dated = attach(rows, first_days, USER)
     new_user = F.coalesce((F.to_date("event_time") == F.col("_first_day")).cast("int"), F.lit(0))

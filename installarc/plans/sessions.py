@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Callable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from installarc.functions import dims
 from installarc.functions.times import seconds_between
 from installarc.operators.timeline import asof_join, interval_join
+from installarc.sources.tables import as_is
 
 USER = ["app_name", "client_id"]
 LAST_SEEN = ("app_version", "country", "device_name", "device_version")
@@ -39,11 +41,18 @@ def sessions(events: DataFrame) -> DataFrame:
     )
 
 
-def activity_daily(session_rows: DataFrame, lifetimes: DataFrame, run_date: date) -> DataFrame:
+def activity_daily(
+    session_rows: DataFrame,
+    lifetimes: DataFrame,
+    run_date: date,
+    run_ts: datetime,
+    stage: Callable[[DataFrame], DataFrame] = as_is,
+) -> DataFrame:
     """Daily activity per user in UTC, without the unfinished current day.
 
     The install device is that of the lifetime running at the day's last session end;
-    a day that crosses a lifetime boundary takes it from the later lifetime.
+    a day that crosses a lifetime boundary takes it from the later lifetime. The days
+    are staged before the match, so the session rows are folded once.
     """
     finished = session_rows.filter(
         (F.col("session_start") < F.lit(run_date).cast("timestamp")) & dims.usable_client(F.col("client_id"))
@@ -68,12 +77,13 @@ def activity_daily(session_rows: DataFrame, lifetimes: DataFrame, run_date: date
     )
     device = ["lifetime_end_time", "install_device_name", "install_device_type"]
     matched = asof_join(
-        days, lifetimes, USER, "last_session_end_utc", "install_time", device, chunk="month"
+        stage(days), lifetimes, USER, "last_session_end_utc", "install_time", device, chunk="month"
     )
     running = F.col("lifetime_end_time").isNull() | (
         F.col("last_session_end_utc") < F.col("lifetime_end_time")
     )
-    return matched.withColumns({c: F.when(running, F.col(c)) for c in device[1:]}).drop(device[0])
+    named = {c: F.when(running, F.col(c)) for c in device[1:]}
+    return matched.withColumns({**named, "updated_at_utc": F.lit(run_ts).cast("timestamp")}).drop(device[0])
 
 
 def first_24h(events: DataFrame, lifetimes: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -13,6 +13,7 @@ from installarc.functions.money import money, price_gross_usd, price_usd
 from installarc.operators.lookup import attach, rate_lookup, session_match
 from installarc.operators.shape import one_per_key, padded_union
 from installarc.operators.timeline import asof_join
+from installarc.sources.tables import as_is
 
 USER = ["app_name", "client_id"]
 TX = ["app_name", "transaction_id"]
@@ -67,8 +68,13 @@ def subscription_fact(
     fees: DataFrame,
     first_day: date,
     last_day: date,
+    stage: Callable[[DataFrame], DataFrame] = as_is,
 ) -> DataFrame:
-    """Subscription event rows with client, price, refund, cancel and new-user flags."""
+    """Subscription event rows with client, price, refund, cancel and new-user flags.
+
+    Three results are staged because the next step reads each of them twice: the rows
+    with context, the priced rows, and the rows with their lifetime.
+    """
     known = context.select(
         *TX,
         F.col("client_id").alias("_context_client"),
@@ -83,19 +89,19 @@ def subscription_fact(
             "country": F.coalesce("country", "_context_country"),
         }
     )
-    rows = attach(rows, chain_clients(rows), CHAIN).withColumn(
-        "client_id", F.coalesce("client_id", "_chain_client")
-    )
-    rows = rows.withColumn("platform", dims.store_label_of(dims.store_platform_of(F.col("store"))))
-    rows = attach(rows, fees.select("platform", "country", "vat_income_multiplier"), ["platform", "country"])
-    rows = rate_lookup(rows, rates, "currency", F.to_date("event_time"), first_day, last_day)
-
+    rows = stage(rows.drop("_context_client", "_context_country"))
     refunds = rows.filter(F.col("event_name") == "refund").select(
         *TX,
         F.lit(1).alias("refund_ind"),
         F.col("event_time").alias("refund_time"),
         F.col("event_transaction_id").alias("refund_transaction_id"),
     )
+    rows = attach(rows, chain_clients(rows), CHAIN).withColumn(
+        "client_id", F.coalesce("client_id", "_chain_client")
+    )
+    rows = rows.withColumn("platform", dims.store_label_of(dims.store_platform_of(F.col("store"))))
+    rows = attach(rows, fees.select("platform", "country", "vat_income_multiplier"), ["platform", "country"])
+    rows = rate_lookup(rows, rates, "currency", F.to_date("event_time"), first_day, last_day)
     rows = attach(rows, refunds, TX, {"refund_ind": 0})
 
     rate, fee, local = F.col("currency_rates_denominator"), F.col("vat_income_multiplier"), F.col("local_price")
@@ -108,7 +114,7 @@ def subscription_fact(
             "cancel_time": F.when(cancelled, F.col("event_time")),
         }
     )
-    owned = asof_join(rows, lifetimes, USER, "event_time", "install_time", ["user_lifetime_id"])
+    owned = stage(asof_join(stage(rows), lifetimes, USER, "event_time", "install_time", ["user_lifetime_id"]))
     counts_as_new = (
         (F.col("event_name") == "purchase") & (F.col("cancel_ind") == 0) & F.col("user_lifetime_id").isNotNull()
     )

@@ -49,6 +49,37 @@ def work_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+class Staging:
+    """Intermediate tables of one run, written to the shared work folder.
+
+    A result that several later steps read is computed once, and a lost executor costs
+    the step at hand only. ``drop`` removes the tables after the run.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.root, self.count = spark, work_dir(spark), 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{self.count}"
+        self.count += 1
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def drop(self) -> None:
+        files, root = _file_system(self.spark, self.root)
+        files.delete(root, True)
+
+
+def as_is(df: DataFrame) -> DataFrame:
+    """No staging: the plan stays one lazy query."""
+    return df
+
+
+def _file_system(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
+
 def _ordered(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Range-place and sort by the table's sort key, so files cover narrow key ranges.
 
@@ -83,10 +114,7 @@ def replace_days(df: DataFrame, path: str, day: str, window: RunWindow, order: S
     longer have any row are removed afterwards, as they would be by a delete and insert.
     """
     written = replace_partitions(df, path, day, order)
-    spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, root = _file_system(df.sparkSession, path)
     kept = {d.isoformat() for d in written}
     for status in files.listStatus(root):
         name = status.getPath().getName()
