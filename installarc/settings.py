@@ -116,6 +116,13 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings that only take effect while a session is created. Plans are built from
+# hundreds of columns; recording a call site for each would cost several calls to the JVM.
+LAUNCH_SETTINGS = {
+    **SESSION_SETTINGS,
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     for key, value in SESSION_SETTINGS.items():
