@@ -165,6 +165,11 @@ class Inputs:
             raw["paid_activations"], raw["trial_activations"], self.sessions()
         )
 
+    def profile(self) -> DataFrame:
+        facts = {"orders", "lineitem", "events", "conversations"}
+        layers = {t: "facts" if t in facts else "dimensions" for t in BASE_TABLES}
+        return reference.table_profile({t: self.raw[t] for t in BASE_TABLES}, layers)
+
     def attribution_events(self) -> DataFrame:
         return attribution.attribution_events(self.raw["raw_installs"], self.raw["raw_reinstalls"])
 
@@ -353,7 +358,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "source_compare": source_compare_query,
     "feature_corr": feature_corr_query,
-    "table_profile": lambda i: reference.table_profile({t: i.raw[t] for t in BASE_TABLES}),
+    "table_profile": Inputs.profile,
+    "layer_totals": lambda i: reference.layer_totals(i.profile()),
+    "largest_tables": lambda i: reference.largest_tables(i.profile(), 5, ["lineitem"]),
     "incremental_equals_full": incremental_query,
     "upsert_partitions": upsert_query,
 }

@@ -53,6 +53,10 @@ def _list(names, prefix=""):
     return ", ".join(prefix + n for n in names)
 
 
+def _nothing(names):
+    return ", ".join(f"cast(NULL AS VARCHAR) AS {n}" for n in names.split())
+
+
 def _platform(col):
     return f"CASE WHEN {col} ILIKE '%ios%' THEN 'ios' WHEN {col} ILIKE '%and%' THEN 'android' ELSE 'unknown' END"
 
@@ -696,10 +700,10 @@ SELECT client_id, event_time, local_price,
     "first_seen": "SELECT * FROM seen",
     "inapp_staged": "SELECT * FROM staged",
     "inapp_refunds": "SELECT * FROM refunds",
-    "inapp_fact": "SELECT * FROM inapp_facts",
+    "inapp_fact": f"SELECT *, {_nothing('trigger_name app_version session_number device_name device_version media_source creative promo_campaign')} FROM inapp_facts",
     "subscription_stream": "SELECT * FROM sub_stream",
     "subscription_context": "SELECT * FROM sub_context",
-    "subscription_fact": "SELECT * FROM sub_fact",
+    "subscription_fact": f"SELECT *, {_nothing('session_number device_name device_version media_source creative promo_campaign')} FROM sub_fact",
     "rates_scd2": "SELECT * FROM rates",
     "rate_lookup": f"""
 SELECT transaction_id, version, p.currency, event_time, r.value AS rate
@@ -781,13 +785,16 @@ TABLE_COLUMNS = {
 }
 
 
+FACT_TABLES = ("orders", "lineitem", "events", "conversations")
+
+
 def _table_profile() -> str:
     parts = []
     for table, columns in TABLE_COLUMNS.items():
         names = columns.split()
         nulls = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in names)
         parts.append(
-            f"SELECT '{table}' AS table_name, {len(names)} AS column_count, count(*) AS row_count, "
+            f"SELECT '{'facts' if table in FACT_TABLES else 'dimensions'}' AS layer, '{table}' AS table_name, {len(names)} AS column_count, count(*) AS row_count, "
             f"{nulls} AS null_cells, count(DISTINCT {names[0]}) AS key_count FROM {table}"
         )
     return " UNION ALL ".join(parts)
@@ -798,5 +805,14 @@ def statements() -> dict[str, str]:
     steps = [*view_ctes(), *CTES.items()]
     head = "WITH " + ",\n".join(f"{name} AS ({text.strip()})" for name, text in steps)
     out = {name: f"{head}\n{text.strip()}" for name, text in QUERIES.items()}
-    out["table_profile"] = _table_profile()
+    profile = _table_profile()
+    out["table_profile"] = profile
+    out["layer_totals"] = (
+        "SELECT layer, count(*) AS table_count, cast(sum(row_count) AS BIGINT) AS total_rows, "
+        f"cast(sum(column_count) AS BIGINT) AS column_count FROM ({profile}) GROUP BY 1"
+    )
+    out["largest_tables"] = (
+        f"SELECT table_name, row_count FROM ({profile}) WHERE table_name <> 'lineitem' "
+        "ORDER BY row_count DESC, table_name LIMIT 5"
+    )
     return out

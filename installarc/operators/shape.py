@@ -25,6 +25,12 @@ def one_per_key(
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
 
 
+def in_shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns of a table contract in order; what the input does not carry is NULL text."""
+    missing = F.lit(None).cast("string")
+    return df.select(*[F.col(c) if c in df.columns else missing.alias(c) for c in columns])
+
+
 def padded_union(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by name; a measure a frame lacks is NULL and adds nothing to a sum."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -11,13 +11,45 @@ from pyspark.sql import functions as F
 from installarc.functions import dims, events
 from installarc.functions.money import money, price_gross_usd, price_usd
 from installarc.operators.lookup import attach, flag_matches, rate_lookup, session_match
-from installarc.operators.shape import one_per_key
+from installarc.operators.shape import in_shape, one_per_key
 from installarc.operators.timeline import sequence_rows
 from installarc.sources.tables import as_is
 
 USER = ["app_name", "client_id"]
 TX = ["app_name", "transaction_id"]
 
+FACT_COLUMNS = (
+    "event_name",
+    "trigger_name",
+    "client_id",
+    "event_time",
+    "price",
+    "price_gross",
+    "local_price",
+    "currency",
+    "product_id",
+    "product_id_type",
+    "transaction_id",
+    "purchase_number",
+    "refund_ind",
+    "refund_time",
+    "refund_transaction_id",
+    "platform",
+    "new_user",
+    "app_name",
+    "app_version",
+    "session_number",
+    "session_id",
+    "country",
+    "device_name",
+    "device_version",
+    "media_source",
+    "creative",
+    "promo_campaign",
+    "currency_rates_denominator",
+    "vat_income_multiplier",
+)
+
 
 def inapp_staged(
     purchases: DataFrame,
@@ -105,29 +137,7 @@ def inapp_fact(staged: DataFrame, refunds: DataFrame) -> DataFrame:
     first_days = valid.groupBy(*USER).agg(F.min(F.to_date("event_time")).alias("_first_day"))
     dated = attach(rows, first_days, USER)
     new_user = F.coalesce((F.to_date("event_time") == F.col("_first_day")).cast("int"), F.lit(0))
-    return dated.withColumn("new_user", new_user).select(
-        "event_name",
-        "client_id",
-        "event_time",
-        "price",
-        "price_gross",
-        "local_price",
-        "currency",
-        "product_id",
-        "product_id_type",
-        "transaction_id",
-        "purchase_number",
-        "refund_ind",
-        "refund_time",
-        "refund_transaction_id",
-        "platform",
-        "new_user",
-        "app_name",
-        "session_id",
-        "country",
-        "currency_rates_denominator",
-        "vat_income_multiplier",
-    )
+    return in_shape(dated.withColumn("new_user", new_user), FACT_COLUMNS)
 
 
 def payment_stream(payments: DataFrame) -> DataFrame:

@@ -87,15 +87,16 @@ def campaign_country_values(snapshots: DataFrame) -> DataFrame:
 # --- profiles and correlation -----------------------------------------------------
 
 
-def table_profile(tables: Mapping[str, DataFrame], top: int | None = None) -> DataFrame:
+def table_profile(tables: Mapping[str, DataFrame], layers: Mapping[str, str] | None = None) -> DataFrame:
     """Row count, columns, NULL cells and distinct first-column values of each table.
 
-    Each table is read once. ``top`` keeps the largest tables only.
+    Each table is read once. ``layers`` names the layer a table belongs to.
     """
 
     def profile(name: str, df: DataFrame) -> DataFrame:
         nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in df.columns])
         return df.agg(
+            F.lit((layers or {}).get(name, "raw")).alias("layer"),
             F.lit(name).alias("table_name"),
             F.lit(len(df.columns)).alias("column_count"),
             F.count(F.lit(1)).alias("row_count"),
@@ -103,11 +104,22 @@ def table_profile(tables: Mapping[str, DataFrame], top: int | None = None) -> Da
             F.count_distinct(df.columns[0]).alias("key_count"),
         )
 
-    profiles = [profile(name, df) for name, df in tables.items()]
-    out = reduce(lambda a, b: a.unionByName(b), profiles)
-    if top is None:
-        return out
-    return out.orderBy(F.desc("row_count"), "table_name").limit(top)
+    return reduce(lambda a, b: a.unionByName(b), [profile(name, df) for name, df in tables.items()])
+
+
+def layer_totals(profile: DataFrame) -> DataFrame:
+    """Tables, rows and columns per layer."""
+    return profile.groupBy("layer").agg(
+        F.count(F.lit(1)).alias("table_count"),
+        F.sum("row_count").alias("total_rows"),
+        F.sum("column_count").alias("column_count"),
+    )
+
+
+def largest_tables(profile: DataFrame, top: int = 15, without: Sequence[str] = ()) -> DataFrame:
+    """The tables with most rows, leaving out the named ones."""
+    kept = profile.filter(~F.col("table_name").isin(*without)) if without else profile
+    return kept.orderBy(F.desc("row_count"), "table_name").limit(top).select("table_name", "row_count")
 
 
 def feature_correlation(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:

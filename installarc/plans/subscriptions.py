@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from installarc.functions import dims, events
 from installarc.functions.money import money, price_gross_usd, price_usd
 from installarc.operators.lookup import attach, rate_lookup, session_match
-from installarc.operators.shape import one_per_key, padded_union
+from installarc.operators.shape import in_shape, one_per_key, padded_union
 from installarc.operators.timeline import asof_join
 from installarc.sources.tables import as_is
 
@@ -19,6 +19,45 @@ USER = ["app_name", "client_id"]
 TX = ["app_name", "transaction_id"]
 CHAIN = ["app_name", "original_transaction_id"]
 
+CONTEXT_FIELDS = ("trigger_name", "app_version", "session_number", "session_id", "device_name", "device_version")
+FACT_COLUMNS = (
+    "event_name",
+    "trigger_name",
+    "client_id",
+    "app_name",
+    "transaction_id",
+    "event_time",
+    "price",
+    "price_gross",
+    "local_price",
+    "currency",
+    "currency_rates_denominator",
+    "vat_income_multiplier",
+    "type",
+    "period_type",
+    "product_id",
+    "original_transaction_id",
+    "is_trial_conversion",
+    "store",
+    "refund_ind",
+    "refund_time",
+    "refund_transaction_id",
+    "platform",
+    "new_user",
+    "app_version",
+    "session_number",
+    "session_id",
+    "country",
+    "device_name",
+    "device_version",
+    "media_source",
+    "creative",
+    "promo_campaign",
+    "cancel_ind",
+    "cancel_time",
+    "cancel_reason",
+)
+
 
 def subscription_stream(sources: Sequence[DataFrame]) -> DataFrame:
     """Transactions of several feeds in falling priority, one row per transaction and kind.
@@ -78,10 +117,8 @@ def subscription_fact(
     known = context.select(
         *TX,
         F.col("client_id").alias("_context_client"),
-        "trigger_name",
-        "app_version",
-        "session_id",
         F.col("country").alias("_context_country"),
+        *[c for c in CONTEXT_FIELDS if c in context.columns],
     )
     rows = attach(stream, known, TX).withColumns(
         {
@@ -127,34 +164,4 @@ def subscription_fact(
     flagged = attach(owned, firsts, "user_lifetime_id").withColumn(
         "new_user", F.coalesce(is_first, F.lit(False)).cast("int")
     )
-    return flagged.select(
-        "event_name",
-        "trigger_name",
-        "client_id",
-        "app_name",
-        "transaction_id",
-        "event_time",
-        "price",
-        "price_gross",
-        "local_price",
-        "currency",
-        "currency_rates_denominator",
-        "vat_income_multiplier",
-        "type",
-        "period_type",
-        "product_id",
-        "original_transaction_id",
-        "is_trial_conversion",
-        "store",
-        "refund_ind",
-        "refund_time",
-        "refund_transaction_id",
-        "platform",
-        "new_user",
-        "app_version",
-        "session_id",
-        "country",
-        "cancel_ind",
-        "cancel_time",
-        "cancel_reason",
-    )
+    return in_shape(flagged, FACT_COLUMNS)
