@@ -14,6 +14,7 @@ from installarc.functions.money import (
     sum_money,
     total_gross,
     total_net,
+    zero,
 )
 from installarc.operators.shape import UNLIMITED, bucket_labels, dense_days, padded_union
 from installarc.operators.timeline import interval_join
@@ -423,7 +424,7 @@ _FLAG = "_in_long"
 
 
 def _bucket_inputs(long: DataFrame, payer_rows: DataFrame, utn: DataFrame, config: MartConfig) -> DataFrame:
-    """The three marts as rows of (cohort, day, measures)."""
+    """The three marts as rows of (cohort, day, measures), at most one per mart and day."""
     keep = config.in_cohort_range(F.col("cohort_date")) & F.col("application").isin(*config.apps)
     cohort_days = long.filter(keep).select(
         *dims.COHORT_KEY,
@@ -451,6 +452,8 @@ def _bucket_inputs(long: DataFrame, payer_rows: DataFrame, utn: DataFrame, confi
         payer_rows.filter(keep & (F.col("first_purchase_date") >= F.col("cohort_date")))
         .select(*dims.COHORT_KEY, F.inline(firsts))
         .filter(F.col("day") >= 0)
+        .groupBy(*dims.COHORT_KEY, "day")
+        .agg(*[F.sum(m).alias(m) for m in metrics.PAYER_COUNTS])
     )
     distinct = utn.filter(keep).select(
         *dims.COHORT_KEY, F.lit(None).cast("int").alias("day"), F.col("clients_sdk_utn").alias("active_users_all")
@@ -461,42 +464,48 @@ def _bucket_inputs(long: DataFrame, payer_rows: DataFrame, utn: DataFrame, confi
 def cohort_wide(long: DataFrame, payer_rows: DataFrame, utn: DataFrame, config: MartConfig) -> DataFrame:
     """One row per cohort with every measure at each day bucket and over all days.
 
-    Each input row is labelled with the buckets it counts into and the labels are
-    pivoted: one grouped sum per (cohort, bucket), then one row per cohort.
+    Each input row is labelled with the buckets it counts into: one grouped sum per
+    (cohort, bucket), then the at most ten sums of a cohort side by side. Rows are
+    placed by cohort first (a few hundred days each), so both steps run where the rows
+    already are and the labelled copies are never shuffled.
     """
     matured = F.date_diff(F.lit(config.last_full_day), "cohort_date")
-    labelled = _bucket_inputs(long, payer_rows, utn, config).withColumn(
+    placed = _bucket_inputs(long, payer_rows, utn, config).repartition(*dims.COHORT_KEY)
+    labelled = placed.withColumn(
         "bucket", F.explode(bucket_labels(F.col("day"), matured, config.day_buckets))
     )
     exact = F.col("bucket") == F.col("day")
     any_day = F.col("bucket") == UNLIMITED
     plain = (*_DAY0, *metrics.WIDE_COUNTS, *metrics.PAYER_COUNTS[:3], "active_users_all", _FLAG)
-    pivoted = (
-        labelled.groupBy(*dims.COHORT_KEY)
-        .pivot("bucket", [*config.day_buckets, UNLIMITED])
-        .agg(
-            *[F.sum(m).alias(m) for m in plain],
-            F.sum(F.when(exact, F.col("active_users"))).alias("active_users"),
-            F.sum(F.when(exact | any_day, F.col("new_payers"))).alias("new_payers"),
-            *[F.sum(m).alias(m) for m in ("cost", *metrics.WIDE_MONEY)],
-        )
-        .filter(F.col(f"{UNLIMITED}_{_FLAG}") > 0)
+    exact_sums = [
+        F.sum(F.when(exact, F.col("active_users"))).alias("active_users"),
+        F.sum(F.when(exact | any_day, F.col("new_payers"))).alias("new_payers"),
+    ]
+    money_sums = [money(F.sum(m)).alias(m) for m in ("cost", *metrics.WIDE_MONEY)]
+    per_bucket = labelled.groupBy(*dims.COHORT_KEY, "bucket").agg(
+        *[F.sum(m).alias(m) for m in plain], *exact_sums, *money_sums
     )
+    measures = [c for c in per_bucket.columns if c not in (*dims.COHORT_KEY, "bucket")]
+    cell = F.struct("bucket", F.struct(*measures))
+    by_bucket = per_bucket.groupBy(*dims.COHORT_KEY).agg(F.map_from_entries(F.collect_list(cell)).alias("_cells"))
+    labels = (*config.day_buckets, UNLIMITED)
+    pivoted = by_bucket.select(
+        *dims.COHORT_KEY, *[F.try_element_at("_cells", F.lit(b)).alias(f"b{b}") for b in labels]
+    ).filter(F.col(f"b{UNLIMITED}.{_FLAG}") > 0)
+
+    def named(bucket: int, name: str) -> str:
+        return f"{name}_{'utn' if bucket == UNLIMITED else bucket}"
 
     def count_at(bucket: int, name: str, source: str | None = None) -> Column:
-        label = "utn" if bucket == UNLIMITED else bucket
-        col = F.coalesce(F.col(f"{bucket}_{source or name}"), F.lit(0))
-        return col.cast("long").alias(f"{name}_{label}")
+        return F.coalesce(F.col(f"b{bucket}.{source or name}"), F.lit(0).cast("long")).alias(named(bucket, name))
 
     def money_at(bucket: int, name: str) -> Column:
-        label = "utn" if bucket == UNLIMITED else bucket
-        return money_or_zero(F.col(f"{bucket}_{name}")).alias(f"{name}_{label}")
+        return F.coalesce(F.col(f"b{bucket}.{name}"), zero()).alias(named(bucket, name))
 
     def refunds_at(bucket: int) -> Column:
-        label = "utn" if bucket == UNLIMITED else bucket
-        parts = [F.col(f"{bucket}_{m}") for m in ("inapp_refunds_revenue_net", "subs_refunds_revenue_net")]
-        total = money_or_zero(parts[0]) + money_or_zero(parts[1])
-        return money(total).alias(f"total_refunds_revenue_{label}")
+        parts = ("inapp_refunds_revenue_net", "subs_refunds_revenue_net")
+        both = [F.coalesce(F.col(f"b{bucket}.{m}"), zero()) for m in parts]
+        return money(both[0] + both[1]).alias(named(bucket, "total_refunds_revenue"))
 
     out = [count_at(0, m) for m in _DAY0] + [money_at(0, "cost")]
     for b in config.day_buckets:
