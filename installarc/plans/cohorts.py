@@ -425,7 +425,7 @@ _FLAG = "_in_long"
 
 def _bucket_inputs(long: DataFrame, payer_rows: DataFrame, utn: DataFrame, config: MartConfig) -> DataFrame:
     """The three marts as rows of (cohort, day, measures), at most one per mart and day."""
-    keep = config.in_cohort_range(F.col("cohort_date")) & F.col("application").isin(*config.apps)
+    keep = config.in_cohort_range(F.col("cohort_date")) & config.has_app(F.col("application"))
     cohort_days = long.filter(keep).select(
         *dims.COHORT_KEY,
         F.col("day_idx").alias("day"),
@@ -531,7 +531,7 @@ def monetization_curves(long: DataFrame, config: MartConfig) -> DataFrame:
     grid all work on that placement. A cohort has at most ``max_cohort_day + 1`` days.
     """
     kept = long.filter(
-        F.col("application").isin(*config.apps)
+        config.has_app(F.col("application"))
         & (F.col("cohort_date") >= F.lit(config.curve_start))
         & (F.col("cohort_date") < F.lit(config.curve_end))
         & F.col("day_idx").between(0, config.max_cohort_day)

@@ -167,9 +167,8 @@ def revenue_by_source(
             _ads(ad_impression, labels.ad_impression, config, "app_name", "project"),
         ]
     )
-    listed = F.lower("app_name").isin(*[a.lower() for a in config.revenue_apps])
     return (
-        stacked.filter(listed)
+        stacked.filter(config.has_revenue_app(F.col("app_name")))
         .groupBy(*KEYS)
         .agg(
             *[money_or_zero(F.sum(m)).cast("double").alias(m) for m in AMOUNTS],

@@ -13,7 +13,11 @@ DAY_BUCKETS = (0, 1, 2, 3, 7, 14, 30, 180, 360)
 
 @dataclass(frozen=True)
 class MartConfig:
-    """Parameters of the marts. The clock is always an argument, never ``now()``."""
+    """Parameters of the marts. The clock is always an argument, never ``now()``.
+
+    ``apps`` limits the wide and curve marts (exact names), ``revenue_apps`` the revenue
+    mart (any letter case); an empty list keeps every application.
+    """
 
     run_date: date
     run_ts: datetime
@@ -37,6 +41,13 @@ class MartConfig:
         """The newest complete UTC day: the run date itself is unfinished."""
         return self.run_date - timedelta(days=1)
 
+    def has_app(self, app: Column) -> Column:
+        return app.isin(*self.apps) if self.apps else F.lit(True)
+
+    def has_revenue_app(self, app: Column) -> Column:
+        names = [a.lower() for a in self.revenue_apps]
+        return F.lower(app).isin(*names) if names else F.lit(True)
+
     def in_cohort_range(self, day: Column) -> Column:
         keep = day >= F.lit(self.cohort_start)
         if self.cohort_end is not None:
