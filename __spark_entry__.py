@@ -44,6 +44,7 @@ class Inputs:
         self.raw = Sample(prepare(spark), sf_dir)
         self.stage = Staging(spark)
         self._stored: dict[str, DataFrame] = {}
+        self._lazy: dict[str, DataFrame] = {}
 
     def stored(self, name: str) -> DataFrame:
         """An input that several steps of one query read, as a staged table."""
@@ -51,6 +52,12 @@ class Inputs:
             self._stored[name] = self.stage(getattr(self, name)())
         return self._stored[name]
 
+    def once(self, name: str) -> DataFrame:
+        """An input built once per query but left lazy, so unused columns are never computed."""
+        if name not in self._lazy:
+            self._lazy[name] = getattr(self, name)()
+        return self._lazy[name]
+
     def lifetimes(self) -> DataFrame:
         return attribution.install_lifetimes(self.raw["installs"])
 
@@ -107,7 +114,7 @@ class Inputs:
 
     def daily(self, window: RunWindow = FULL) -> DataFrame:
         return cohorts.lifetime_activity_daily(
-            self.stored("activity"),
+            self.once("activity"),
             self.raw["inapp"],
             self.raw["subscription"],
             self.stored("ad_daily"),
@@ -208,7 +215,7 @@ def date_range_query(inp: Inputs) -> DataFrame:
 def active_lifetimes_query(inp: Inputs) -> DataFrame:
     window = RunWindow(run_date=date(2024, 1, 20))
     frames = [
-        cohorts.activity_rows(inp.stored("activity"), window, CONFIG),
+        cohorts.activity_rows(inp.once("activity"), window, CONFIG),
         cohorts.inapp_rows(inp.raw["inapp"], window, CONFIG),
         cohorts.subscription_rows(inp.raw["subscription"], window, CONFIG),
         cohorts.ad_rows(inp.stored("ad_daily"), window, CONFIG),
