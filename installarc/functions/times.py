@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # Accepted timestamp spellings, tried in order.
 TIMESTAMP_FORMATS = (
     "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]X",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
     "yyyy-MM-dd",
 )
 
