@@ -88,6 +88,16 @@ def test_rebuilt_days_without_rows_disappear(spark, tmp_path):
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 6: 60, 8: 8, 9: 9, 10: 10}
 
 
+@pytest.mark.parametrize("nothing", ["v > 100", "false"])
+def test_rebuilding_days_that_became_empty(spark, tmp_path, nothing):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(date(2024, 1, d), d) for d in range(1, 6)], "day date, v int")
+    tables.replace_days(df, path, "day", RunWindow(run_date=date(2024, 1, 11), full_refresh=True), ["day", "v"])
+    window = RunWindow(run_date=date(2024, 1, 9), start=date(2024, 1, 2), end=date(2024, 1, 3))
+    tables.replace_days(df.filter(nothing), path, "day", window, ["day", "v"])
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 4, 5]
+
+
 def test_raw_feeds_get_their_trusted_time(spark, tmp_path):
     path = str(tmp_path / "feed")
     spark.createDataFrame([(datetime(2024, 1, 1), datetime(2020, 1, 1))], "version timestamp, timestamp timestamp").write.parquet(path)
