@@ -18,6 +18,15 @@ from installarc.settings import MartConfig, RunWindow, prepare
 from installarc.sources.sample import BASE_TABLES, Sample
 from installarc.sources.tables import Staging, replace_days, replace_partitions, work_dir
 
+try:  # the operators for training data can be left out
+    from installarc.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 FIRST_DAY, RUN_DATE = date(2024, 1, 1), date(2024, 2, 1)
 LAST_DAY = date(2024, 1, 31)
 
@@ -379,14 +388,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(plan: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: plan(Inputs(spark, sf_dir))
 
-    return {name: bind(plan) for name, plan in QUERIES.items()}
+    found = {name: bind(plan) for name, plan in QUERIES.items()}
+    if llm_queries:
+        found |= llm_queries.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     """Independent SQL for every query, for the checking database."""
     from checks.oracle import statements
 
-    return statements()
+    found = statements()
+    if llm_queries:
+        found |= llm_queries.ORACLES
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def entry(spark: SparkSession) -> DataFrame:
