@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from installarc.llm import chat, mixing, reputation, sharding
+from installarc.llm import chat, decontamination, mixing, reputation, sharding
 from installarc.llm.common import WORD
 
 
@@ -29,6 +29,19 @@ def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.withColumn("spans", F.array_join(spans, ","))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontamination.contamination(docs, items)
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 RULES = (
     reputation.Rule("allow", "com", "/"),
     reputation.Rule("block", "example.com", "/en/"),
@@ -59,7 +72,7 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op6_host_reputation, op9_shard)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op6_host_reputation, op9_shard)
 }
 
 ORACLES: dict[str, str] = {}
