@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from installarc.llm import chat, decontamination, mixing, reputation, sharding
-from installarc.llm.common import WORD
+from installarc.llm import chat, decontamination, language, mixing, reputation, sharding
+from installarc.llm.common import WORD, crc_remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", crc_remainder(F.col("doc_id"), 4) == 2)
+    model = language.train(docs.filter(~F.col("held_out")))
+    return language.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
 RULES = (
     reputation.Rule("allow", "com", "/"),
     reputation.Rule("block", "example.com", "/en/"),
@@ -72,7 +79,7 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op6_host_reputation, op9_shard)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op6_host_reputation, op9_shard)
 }
 
 ORACLES: dict[str, str] = {}
