@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from installarc.llm import chat, decontamination, language, mixing, reputation, sharding
+from installarc.llm import chat, decontamination, language, mixing, neighbours, reputation, sharding
 from installarc.llm.common import WORD, crc_remainder
 
 
@@ -78,8 +78,13 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op6_host_reputation, op9_shard)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op6_host_reputation, op9_shard, op10_nearest)
 }
 
 ORACLES: dict[str, str] = {}
