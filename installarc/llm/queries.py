@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from installarc.llm import chat, decontamination, language, mixing, neighbours, reputation, sharding
+from installarc.llm import chat, decontamination, language, mixing, neardup, neighbours, reputation, sharding
 from installarc.llm.common import WORD, crc_remainder
 
 
@@ -66,6 +66,11 @@ def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict", "basis")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -84,7 +89,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op6_host_reputation, op9_shard, op10_nearest)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op6_host_reputation, op8_near_duplicates, op9_shard, op10_nearest)
 }
 
 ORACLES: dict[str, str] = {}
