@@ -39,3 +39,10 @@ def content_key(doc_id: Column, text: Column) -> Column:
 def groups_of(count: int, size: int) -> int:
     """Number of groups that hold about ``size`` of ``count`` rows each."""
     return max(1, -(-count // size))
+
+
+def with_keys(docs: DataFrame, keys: DataFrame, how: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents whose ``content_key`` is (``left_semi``) or isn't (``left_anti``) in ``keys`` (column ``key``)."""
+    kind = keys.schema["key"].dataType
+    keyed = docs.withColumn("_content_key", content_key(F.col(doc_id), F.col(text)).cast(kind))
+    return keyed.join(keys.withColumnRenamed("key", "_content_key"), "_content_key", how)

@@ -261,10 +261,11 @@ def near_duplicates(
     piece_nodes: int = 1_000,
     piece_shingles: int = 1_000_000,
 ) -> DataFrame:
-    """One row per document: ``doc``, ``key``, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per document: ``doc``, ``key``, ``n_shingles``, ``component``, ``component_id`` and ``kept``.
 
     Two documents are linked if their sets of ``words``-word shingles have at least ``percent`` % in common
     (intersection of union). ``component_id`` is the smallest id that links lead to; the document with it is kept.
+    ``component`` numbers the components by themselves (NULL without shingles).
 
     Equal sets are one class from the start. Classes that agree in a band of HyperMinHash registers form candidate groups; no
     pairs are made, each class is only tied to the first of its band. Within a candidate group every
@@ -291,8 +292,8 @@ def near_duplicates(
     links = stage(_confirm(docs, pieces, words, percent, slack, text, doc_id))
     joined = components(links, stage)
     named = classes.select(*same, "node", "least").join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    names = named.groupBy("label").agg(F.min("least").alias("component"))
-    found = named.join(names, "label").select(*same, "component")
+    names = named.groupBy("label").agg(F.min("least").alias("least_id"))
+    found = named.join(names, "label").select(*same, F.col("label").alias("component"), "least_id")
     return (
         sketched.select("doc", "key", *same)
         .join(found, same, "left")
@@ -300,7 +301,15 @@ def near_duplicates(
             "doc",
             "key",
             F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id"),
+            "component",
+            F.when(F.col("n") > 0, F.col("least_id")).otherwise(F.col("doc")).alias("component_id"),
         )
         .withColumn("kept", F.col("doc").eqNullSafe(F.col("component_id")))
     )
+
+
+def representatives(found: DataFrame) -> DataFrame:
+    """Keys of the documents that stay: the one with the smallest id of each component, all without shingles."""
+    order = F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)), "key")
+    grouped = found.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min_by("key", order).alias("key"))
+    return grouped.select("key").unionByName(found.filter(F.col("component").isNull()).select("key"))
