@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from installarc.llm import chat, decontamination, language, mixing, neardup, neighbours, reputation, sharding
+from installarc.llm import chat, decontamination, katz, language, mixing, neardup, neighbours, reputation, sharding
 from installarc.llm.common import WORD, crc_remainder
 
 
@@ -49,6 +49,20 @@ def op4_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
 
 
+def op5_score_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_remainder(F.col("doc_id"), 7) == 2
+    found = katz.katz_scores(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        (~F.col("learns")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 RULES = (
     reputation.Rule("allow", "com", "/"),
     reputation.Rule("block", "example.com", "/en/"),
@@ -89,7 +103,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op6_host_reputation, op8_near_duplicates, op9_shard, op10_nearest)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op8_near_duplicates, op9_shard, op10_nearest)
 }
 
 ORACLES: dict[str, str] = {}
