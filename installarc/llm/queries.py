@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from installarc.llm import chat, decontamination, katz, language, mixing, neardup, neighbours, reputation, sharding
+from installarc.llm import chat, decontamination, katz, language, lines, mixing, neardup, neighbours, reputation, sharding
 from installarc.llm.common import WORD, crc_remainder
 
 
@@ -80,6 +80,11 @@ def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict", "basis")
 
 
+def op7_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"), "clean_text")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -103,7 +108,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op8_near_duplicates, op9_shard, op10_nearest)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op8_near_duplicates, op9_shard, op10_nearest)
 }
 
 ORACLES: dict[str, str] = {}
