@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from installarc.llm import chat, decontamination, katz, language, lines, mixing, neardup, neighbours, reputation, sharding
+from installarc.llm.oracles import ORACLES as ORACLES
 from installarc.llm.common import WORD, crc_remainder
 
 
@@ -110,5 +111,3 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op8_near_duplicates, op9_shard, op10_nearest)
 }
-
-ORACLES: dict[str, str] = {}
