@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from installarc.llm.common import content_key, stage_for
 from installarc.llm.components import components
@@ -127,7 +128,7 @@ def _sketch(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
     return rows.mapInArrow(sketch, f"doc long, key {KEY}, n long, h1 long, h2 long, sketch binary")
 
 
-@F.pandas_udf("array<long>")
+@F.pandas_udf(T.ArrayType(T.LongType()))
 def band_keys(sketches: pd.Series) -> pd.Series:
     """A hash for each ``BAND`` registers, with the number of the band in it."""
     bands = REGISTERS // BAND
