@@ -14,9 +14,10 @@ from installarc.operators.lookup import attach, rate_lookup
 from installarc.operators.shape import padded_union
 from installarc.operators.timeline import asof_join, interval_join
 from installarc.plans import attribution, cohorts, purchases, reference, revenue, sessions, subscriptions
+from installarc.plans.build import build_marts
 from installarc.settings import MartConfig, RunWindow, prepare
 from installarc.sources.sample import BASE_TABLES, Sample
-from installarc.sources.tables import Staging, replace_days, replace_partitions, work_dir
+from installarc.sources.tables import EVENT_TIME_COLUMNS, Staging, read_table, replace_days, replace_partitions, upsert_rows
 
 try:  # the operators for training data can be left out
     from installarc.llm import queries as llm_queries
@@ -28,7 +29,6 @@ except ImportError:
     corpus_pipeline = None
 
 FIRST_DAY, RUN_DATE = date(2024, 1, 1), date(2024, 2, 1)
-LAST_DAY = date(2024, 1, 31)
 
 CONFIG = MartConfig(
     run_date=RUN_DATE,
@@ -79,7 +79,7 @@ class Inputs:
         )
 
     def ad_daily(self) -> DataFrame:
-        return revenue.ad_user_daily(self.raw["ad_primary"], self.raw["ad_history"])
+        return revenue.ad_user_daily(self.raw["ad_primary"], self.raw["ad_history"], CONFIG.run_ts, self.stage)
 
     def rates(self) -> DataFrame:
         return reference.rates_scd2(self.raw["rate_snapshots"])
@@ -96,7 +96,10 @@ class Inputs:
                 "promo_campaign": "campaign",
                 "promo_campaign_id": "campaign_id",
                 "adset": "ad_group",
+                "adset_id": "ad_group_id",
                 "ad": "creative",
+                "ad_id": "creative_id",
+                "site_id": "publisher",
                 "cost": "spend",
                 "clicks": "clicks",
                 "impressions": "shows",
@@ -110,13 +113,14 @@ class Inputs:
                 "platform": "platform",
                 "application": "application",
                 "ad": "keyword",
+                "keywords": "keyword",
                 "currency": "currency",
                 "cost": "local_cost",
                 "clicks": "clicks",
                 "impressions": "impressions",
             },
         )
-        return revenue.ua_costs([a, b], self.rates(), FIRST_DAY, LAST_DAY)
+        return revenue.ua_costs([a, b], self.rates(), self.stage)
 
     def users(self) -> DataFrame:
         return cohorts.cohort_users(self.stored("lifetimes"), CONFIG)
@@ -163,8 +167,7 @@ class Inputs:
             raw["fees"],
             self.rates(),
             self.sessions(),
-            FIRST_DAY,
-            LAST_DAY,
+            raw["campaigns"],
             self.stage,
         )
 
@@ -173,7 +176,8 @@ class Inputs:
 
     def stream(self) -> DataFrame:
         raw = self.raw
-        return subscriptions.subscription_stream([raw["sub_aggregator"], raw["sub_app_store"], raw["sub_play"]])
+        feeds = [raw["sub_aggregator"], raw["sub_app_store"], raw["sub_play"]]
+        return subscriptions.subscription_stream(feeds, self.rates(), raw["fees"], self.stage)
 
     def context(self) -> DataFrame:
         raw = self.raw
@@ -246,7 +250,7 @@ def price_query(inp: Inputs) -> DataFrame:
 def rate_lookup_query(inp: Inputs) -> DataFrame:
     facts = inp.raw["purchases_raw"].select("transaction_id", "version", "currency", "event_time")
     day = F.to_date("event_time")
-    return rate_lookup(facts, inp.rates(), "currency", day, FIRST_DAY, LAST_DAY, "rate")
+    return rate_lookup(facts, inp.rates(), "currency", day, "rate", stage=inp.stage)
 
 
 def dimension_query(inp: Inputs) -> DataFrame:
@@ -266,16 +270,20 @@ def revenue_feed_query(inp: Inputs) -> DataFrame:
     feeds = {
         "attribution": revenue.attribution_feed(raw["attribution_raw"]),
         "store": revenue.store_feed(raw["store_raw"]),
-        "ad_impression": revenue.ad_feed(raw["ad_primary"], "project"),
-        "ad_user": revenue.ad_feed(raw["ad_history"]),
+        "ad_impression": revenue.ad_feed(raw["ad_primary"], "project", source_table="ad_impressions"),
+        "ad_user": revenue.ad_feed(raw["ad_history"], source_table="ad_users"),
     }
     return padded_union([df.withColumn("feed", F.lit(name)) for name, df in feeds.items()])
 
 
 def json_query(inp: Inputs) -> DataFrame:
     snaps = reference.campaign_snapshots(inp.raw["snapshots_raw"])
-    targets = reference.campaign_targeting(snaps).withColumn("kind", F.lit("target"))
-    return padded_union([reference.campaign_country_values(snaps), targets])
+    blocks = {
+        "goal": reference.campaign_goals(snaps),
+        "budget": reference.campaign_budgets(snaps),
+        "target": reference.campaign_targeting(snaps),
+    }
+    return padded_union([df.withColumn("kind", F.lit(kind)) for kind, df in blocks.items()])
 
 
 def first_24h_query(inp: Inputs) -> DataFrame:
@@ -299,7 +307,7 @@ def feature_corr_query(inp: Inputs) -> DataFrame:
 
 def incremental_query(inp: Inputs) -> DataFrame:
     """Facts built up to a day, then continued by a lookback run; equal to a full build."""
-    spark, path = inp.raw.spark, work_dir(inp.raw.spark)
+    spark, path = inp.raw.spark, inp.stage.folder()
     order = ["event_date", "application", "client_id", "user_lifetime_id"]
     early = RunWindow(run_date=date(2024, 1, 27), full_refresh=True)
     late = RunWindow(run_date=RUN_DATE)
@@ -317,17 +325,78 @@ def incremental_query(inp: Inputs) -> DataFrame:
 
 def upsert_query(inp: Inputs) -> DataFrame:
     """A cohort table whose later cohorts are written again over a first version."""
-    path = work_dir(inp.raw.spark)
-    utn = inp.utn()
-    order = list(dims.COHORT_KEY)
-    first = utn.withColumn(
-        "clients_sdk_utn", F.when(F.col("cohort_date") < date(2024, 1, 15), F.col("clients_sdk_utn")).otherwise(0)
-    )
-    replace_partitions(first, path, "cohort_date", order)
-    replace_partitions(utn.filter(F.col("cohort_date") >= date(2024, 1, 15)), path, "cohort_date", order)
+    path, utn, order = inp.stage.folder(), inp.stage(inp.utn()), list(dims.COHORT_KEY)
+    later = F.col("cohort_date") >= date(2024, 1, 15)
+    first = utn.withColumn("clients_sdk_utn", F.when(later, 0).otherwise(F.col("clients_sdk_utn")))
+    # two dates that the next run no longer has, one within the days it owns and one that is not its own
+    gone = utn.filter(later).limit(1).withColumn("cohort_date", F.lit(date(2024, 3, 1)))
+    old = utn.filter(later).limit(1).withColumn("cohort_date", F.lit(date(2023, 12, 1)))
+    replace_partitions(first.unionByName(gone).unionByName(old), path, "cohort_date", order)
+    replace_partitions(utn.filter(later), path, "cohort_date", order, lambda day: day >= "2024-01-15")
+    return inp.raw.spark.read.parquet(path).select(*utn.columns).filter(F.col("cohort_date") > date(2023, 12, 1))
+
+
+def upsert_keys_query(inp: Inputs) -> DataFrame:
+    """A cohort table in which single keys are replaced, added and deleted; other rows of their dates stay."""
+    path, utn, order = inp.stage.folder(), inp.stage(inp.utn()), list(dims.COHORT_KEY)
+    pick = F.pmod(F.crc32(F.concat_ws("|", *[F.col(c).cast("string") for c in order]).cast("binary")), F.lit(5))
+    changed, added, kept = utn.filter(pick == 0), utn.filter(pick == 1), utn.filter(pick > 1)
+    stale = changed.withColumn("clients_sdk_utn", F.lit(-1).cast("long"))
+    gone = kept.withColumn("application", F.concat("application", F.lit(" gone")))
+    replace_partitions(kept.unionByName(stale).unionByName(gone), path, "cohort_date", order)
+    upsert_rows(changed.unionByName(added), path, "cohort_date", order, order, inp.stage, gone)
     return inp.raw.spark.read.parquet(path).select(*utn.columns)
 
 
+def built_marts_query(inp: Inputs) -> DataFrame:
+    """All marts built as stored tables in order; one month of each is read back and counted."""
+    inputs = {
+        "lifetimes": inp.stored("lifetimes"),
+        "activity": inp.stored("activity"),
+        "ad_daily": inp.stored("ad_daily"),
+        "inapp": inp.raw["inapp"],
+        "subscription": inp.raw["subscription"],
+        "costs": inp.costs(),
+    }
+    paths = build_marts(inp.raw.spark, inputs, CONFIG, FULL, inp.stage.folder())
+    months = {"cohort_users": "month", "cohort_long": "month", "utn": "month", "payers": "month", "curves": "month"}
+
+    def january(name: str) -> DataFrame:
+        df = inp.raw.spark.read.parquet(paths[name])
+        if name in months:
+            return df.filter(F.col("month").cast("string") == "202401")
+        return df.filter(F.col("event_date" if name == "daily" else "cohort_date").between("2024-01-01", "2024-01-31"))
+
+    counts = [january(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows_count")) for n in paths]
+    return padded_union(counts)
+
+
+def trusted_time_query(inp: Inputs) -> DataFrame:
+    """Every raw feed read with its trusted time column, counted by day."""
+    base = inp.raw["session_events"].select(F.col("event_time").alias("_at"))
+    out = []
+    for feed, column in sorted(EVENT_TIME_COLUMNS.items()):
+        path = inp.stage.folder()
+        wrong = F.col("_at") - F.expr("INTERVAL 400 DAYS")  # a client's clock
+        base.select(F.col("_at").alias(column), wrong.alias("timestamp")).write.parquet(path)
+        days = read_table(inp.raw.spark, path, feed).groupBy(F.to_date("event_time").alias("event_date"))
+        out.append(days.agg(F.count(F.lit(1)).alias("rows_count")).withColumn("feed", F.lit(feed)))
+    return padded_union(out)
+
+
+def run_windows_query(inp: Inputs) -> DataFrame:
+    """The daily fact's in-app rows in each of the five window modes."""
+    windows = {
+        "bounds": RunWindow(run_date=RUN_DATE, start=date(2024, 1, 5), end=date(2024, 1, 9)),
+        "start": RunWindow(run_date=RUN_DATE, start=date(2024, 1, 20)),
+        "end": RunWindow(run_date=RUN_DATE, end=date(2024, 1, 9)),
+        "lookback": RunWindow(run_date=date(2024, 1, 20)),
+        "full": FULL,
+    }
+    rows = [cohorts.inapp_rows(inp.raw["inapp"], w, CONFIG).withColumn("mode", F.lit(m)) for m, w in windows.items()]
+    return padded_union(rows).groupBy("mode", "event_date").agg(F.count(F.lit(1)).alias("rows_count"))
+
+
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "scd2_lifetimes": lambda i: attribution.install_lifetimes(i.stored("attribution_events")),
     "asof_join": asof_query,
@@ -355,7 +424,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "subscription_stream": Inputs.stream,
     "subscription_context": Inputs.context,
     "subscription_fact": lambda i: subscriptions.subscription_fact(
-        i.stream(), i.context(), i.stored("lifetimes"), i.rates(), i.raw["fees"], FIRST_DAY, LAST_DAY, i.stage
+        i.stream(), i.context(), i.stored("lifetimes"), i.rates(), i.raw["fees"], i.stage
     ),
     "rates_scd2": Inputs.rates,
     "rate_lookup": rate_lookup_query,
@@ -363,9 +432,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ua_costs": Inputs.costs,
     "dimension_lookup": dimension_query,
     "revenue_feed": revenue_feed_query,
-    "latest_snapshot": lambda i: reference.latest_snapshot(
-        reference.campaign_snapshots(i.raw["snapshots_raw"])
-    ).drop("targeting_countries_raw", "goal_country_values_raw", "budget_country_values_raw"),
+    "latest_snapshot": lambda i: reference.latest_snapshot(reference.campaign_snapshots(i.raw["snapshots_raw"])),
     "json_country_explode": json_query,
     "payment_stream": lambda i: purchases.payment_stream(i.raw["payments"]),
     "first_24h": first_24h_query,
@@ -379,6 +446,11 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "largest_tables": lambda i: reference.largest_tables(i.profile(), 5, ["lineitem"]),
     "incremental_equals_full": incremental_query,
     "upsert_partitions": upsert_query,
+    "upsert_keys": upsert_keys_query,
+    "built_marts": built_marts_query,
+    "trusted_times": trusted_time_query,
+    "run_windows": run_windows_query,
+    "unreadable_starts": lambda i: attribution.unreadable_starts(i.raw["raw_installs"], i.raw["raw_reinstalls"]),
 }
 
 

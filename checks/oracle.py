@@ -99,7 +99,7 @@ def _unit_price(source="source", price="price", takehome="takehome_percentage"):
 
 def _refund_signal():
     return (
-        "coalesce((source = 'play' AND state = 101) OR (source = 'app_store' AND (notification = 'REFUND' OR state = 5)) "
+        "coalesce((source = 'play' AND (state = 101 OR coalesce(cancel_reason, '') = '101')) OR (source = 'app_store' AND (notification = 'REFUND' OR state = 5)) "
         "OR (source = 'aggregator' AND cancel_reason = 'CUSTOMER_SUPPORT'), false)"
     )
 
@@ -157,7 +157,7 @@ FROM (
 _FORMATS = ["banner", "interstitial", "rewarded", "native", "mrec"]
 CTES["ad_daily"] = (
     """
-SELECT cast(event_time AS DATE) AS event_date, app_name, client_id, source_table,
+SELECT cast(event_time AS DATE) AS event_date, app_name, client_id, source_table, TIMESTAMP '2024-02-01 00:00:00' AS updated_at_utc,
   count(*) AS impressions_total, count(*) AS impressions_count,
   cast(sum(revenue) AS DECIMAL(18,8)) AS revenue_total, cast(sum(revenue) AS DECIMAL(18,8)) AS ad_revenue_total"""
     + "".join(
@@ -190,19 +190,19 @@ FROM (
 """
 
 CTES["costs"] = f"""
-SELECT day, platform, application, country, media_source, promo_campaign, promo_campaign_id, adset, ad,
+SELECT day, platform, application, country, media_source, promo_campaign, promo_campaign_id, adset, adset_id, ad, ad_id, site_id, keywords,
   cast(sum(usd) AS {MONEY}) AS cost, cast(sum(clicks) AS BIGINT) AS clicks, cast(sum(impressions) AS BIGINT) AS impressions
 FROM (
   SELECT cast(report_time AS DATE) AS day, os AS platform, app AS application, geo AS country, 'net_1' AS media_source,
-    campaign AS promo_campaign, campaign_id AS promo_campaign_id, ad_group AS adset, creative AS ad,
-    spend AS usd, clicks, shows AS impressions
+    campaign AS promo_campaign, campaign_id AS promo_campaign_id, ad_group AS adset, ad_group_id AS adset_id, creative AS ad,
+    creative_id AS ad_id, publisher AS site_id, NULL AS keywords, spend AS usd, clicks, shows AS impressions
   FROM spend_a
   UNION ALL
-  SELECT g.day, platform, application, NULL, 'net_2', NULL, NULL, NULL, ad, cast({_gross('cost', 'r.value')} AS {MONEY}), clicks, impressions
+  SELECT g.day, platform, application, NULL, 'net_2', NULL, NULL, NULL, NULL, ad, NULL, NULL, ad, cast({_gross('cost', 'r.value')} AS {MONEY}), clicks, impressions
   FROM (SELECT report_day AS day, platform, application, keyword AS ad, currency, sum(local_cost) AS cost,
           sum(clicks) AS clicks, sum(impressions) AS impressions FROM spend_b GROUP BY 1, 2, 3, 4, 5) g
-  LEFT JOIN rates r ON r.currency = g.currency AND g.day >= r.valid_from_date
-    AND g.day <= coalesce(r.valid_to_date, DATE '2024-01-31')
+  LEFT JOIN rates r ON r.base_currency = 'USD' AND r.currency = g.currency AND g.day >= r.valid_from_date
+    AND (r.valid_to_date IS NULL OR g.day <= r.valid_to_date)
 ) GROUP BY ALL
 """
 
@@ -427,25 +427,25 @@ FROM {source} GROUP BY ALL
 
 
 CTES["store_feed"] = f"""
-SELECT cast(event_time AS DATE) AS event_date, app_name, platform, cast(sum(gross_usd) AS {MONEY}) AS revenue_gross_usd,
+SELECT cast(event_time AS DATE) AS event_date, 'store' AS source_table, app_name, platform, cast(sum(gross_usd) AS {MONEY}) AS revenue_gross_usd,
   cast(sum(net_usd) AS {MONEY}) AS revenue_net_usd,
   {_money('sum(gross_usd) FILTER (is_subscription = 1)')} AS revenue_gross_usd_subscription,
   {_money('sum(gross_usd) FILTER (is_subscription = 0)')} AS revenue_gross_usd_inapp, count(*) AS rows_count
-FROM store_raw GROUP BY 1, 2, 3
+FROM store_raw GROUP BY 1, 2, 3, 4
 """
 CTES["attribution_feed"] = f"""
-SELECT cast(event_time AS DATE) AS event_date, app_name, platform, cast(sum(revenue_usd) AS {MONEY}) AS revenue_total,
+SELECT cast(event_time AS DATE) AS event_date, 'attribution' AS source_table, app_name, platform, cast(sum(revenue_usd) AS {MONEY}) AS revenue_total,
   {', '.join(f"{_money(f'''sum(revenue_usd) FILTER (revenue_kind = '{k}')''')} AS revenue_{k}" for k in ['subscription', 'inapp', 'ad'])},
   count(*) FILTER (revenue_kind = 'ad') AS count_impression, count(*) AS count_total
-FROM attribution_raw GROUP BY 1, 2, 3
+FROM attribution_raw GROUP BY 1, 2, 3, 4
 """
 CTES["imp_feed"] = f"""
-SELECT cast(event_time AS DATE) AS event_date, app_name, project, platform, ad_type,
-  cast(sum(revenue) AS {MONEY}) AS revenue_total, count(*) AS impressions_count FROM ad_primary GROUP BY 1, 2, 3, 4, 5
+SELECT cast(event_time AS DATE) AS event_date, 'ad_impressions' AS source_table, app_name, project, platform, ad_type,
+  cast(sum(revenue) AS {MONEY}) AS revenue_total, count(*) AS impressions_count FROM ad_primary GROUP BY 1, 2, 3, 4, 5, 6
 """
 CTES["user_feed"] = f"""
-SELECT cast(event_time AS DATE) AS event_date, app_name, platform, ad_type,
-  cast(sum(revenue) AS {MONEY}) AS revenue_total, count(*) AS impressions_count FROM ad_history GROUP BY 1, 2, 3, 4
+SELECT cast(event_time AS DATE) AS event_date, 'ad_users' AS source_table, app_name, platform, ad_type,
+  cast(sum(revenue) AS {MONEY}) AS revenue_total, count(*) AS impressions_count FROM ad_history GROUP BY 1, 2, 3, 4, 5
 """
 
 
@@ -487,7 +487,8 @@ FROM (
 
 _KINDS = "activity_kind, platform, country_code, media_source, promo_campaign, promo_campaign_id, ad, ad_id, adset, adset_id, install_device_name, install_device_type"
 _PARSED = """CASE WHEN regexp_full_match({0}, '[0-9]{{9,11}}') THEN make_timestamp(cast({0} AS BIGINT) * 1000000)
-  ELSE try_cast(rtrim(replace({0}, 'T', ' '), 'Z') AS TIMESTAMP) END"""
+  WHEN regexp_full_match({0}, '[0-9]{{13}}') THEN make_timestamp(cast({0} AS BIGINT) * 1000)
+  ELSE try_cast(regexp_replace(CASE WHEN length({0}) = 16 THEN {0} || ':00' ELSE replace({0}, 'T', ' ') END, ' ?([+]00:?00|Z)$', '') AS TIMESTAMP) END"""
 CTES["attr_events"] = f"""
 SELECT * EXCLUDE (rn, installed_at, reattributed_at) FROM (
   SELECT *, row_number() OVER (PARTITION BY app_name, client_id, install_time
@@ -535,17 +536,18 @@ FROM (
 """
 
 
-def _in_session(source, columns):
+def _in_session(source, columns, found):
     return f"""
-SELECT {columns}, CASE WHEN e.event_time <= z.session_end THEN z.session_id END AS session_id
-FROM {source} e ASOF LEFT JOIN sess z
-  ON z.app_name = e.app_name AND z.client_id = e.client_id AND z.session_start <= e.event_time
+SELECT {columns}, z.session_id, {found}
+FROM {source} e LEFT JOIN sess z
+  ON z.app_name = e.app_name AND z.client_id = e.client_id AND e.event_time BETWEEN z.session_start AND z.session_end
+QUALIFY row_number() OVER (PARTITION BY e.app_name, e.transaction_id ORDER BY z.session_start DESC, z.session_id DESC) = 1
 """
 
 
 def _rate(alias, day):
-    return f"""LEFT JOIN rates r ON r.currency = {alias}.currency AND {day} >= r.valid_from_date
-  AND {day} <= coalesce(r.valid_to_date, DATE '2024-01-31')"""
+    return f"""LEFT JOIN rates r ON r.base_currency = 'USD' AND r.currency = {alias}.currency AND {day} >= r.valid_from_date
+  AND (r.valid_to_date IS NULL OR {day} <= r.valid_to_date)"""
 
 
 CTES["staged"] = f"""
@@ -553,24 +555,26 @@ SELECT s.*, CASE WHEN client_id <> '' THEN cast(row_number() OVER (PARTITION BY
 FROM ({_in_session(f'''(
   SELECT p.app_name, p.transaction_id, nullif(p.client_id, '') AS client_id, upper({_platform('p.platform')}) AS platform, p.country, p.event_time,
     p.source, {_unit_price('p.source', 'p.price', 'p.takehome_percentage')} AS local_price, p.currency, p.product_id, d.product_id_type,
+    p.app_version, p.session_number, p.device_name, p.device_version, p.trigger_name, p.trigger_number, p.session_trigger_number,
+    p.subscription_status, p.level, p.mode, c.campaign_name, c.parent_campaign_name, c.campaign_type,
     f.vat_income_multiplier, r.value AS currency_rates_denominator,
     (EXISTS (SELECT 1 FROM validations v WHERE v.app_name = p.app_name AND v.transaction_id = p.transaction_id))::INT AS validator_matched
   FROM (SELECT * FROM purchases_raw QUALIFY row_number() OVER (PARTITION BY app_name, transaction_id ORDER BY event_time, version) = 1) p
-  LEFT JOIN products d USING (product_id)
+  LEFT JOIN products d USING (product_id) LEFT JOIN campaigns c USING (campaign_id)
   LEFT JOIN fees f ON f.platform = upper({_platform('p.platform')}) AND f.country = p.country
   {_rate('p', 'cast(p.event_time AS DATE)')}
-)''', 'e.*')}) s
+)''', 'e.* EXCLUDE (session_number)', 'coalesce(e.session_number, z.session_number) AS session_number, ' + _nothing('media_source creative promo_campaign'))}) s
 """
 
 CTES["refunds"] = f"""
 SELECT app_name, platform, transaction_id, 1 AS refund_ind, refund_time, refund_transaction_id, source AS refund_source
-FROM (SELECT * FROM refund_candidates WHERE {_refund_signal()}
-  QUALIFY row_number() OVER (PARTITION BY app_name, transaction_id ORDER BY refund_time, refund_transaction_id) = 1)
+FROM (SELECT * FROM refund_candidates WHERE {_refund_signal()})
 JOIN (SELECT app_name, transaction_id, platform, event_time FROM staged) USING (app_name, transaction_id)
 WHERE refund_time >= event_time
+QUALIFY row_number() OVER (PARTITION BY app_name, transaction_id ORDER BY refund_time, refund_transaction_id) = 1
 """
 
-_FACT = "client_id, price, price_gross, local_price, currency, product_id, product_id_type, transaction_id, purchase_number, refund_ind, refund_time, refund_transaction_id, platform, app_name, session_id, country, currency_rates_denominator, vat_income_multiplier"
+_FACT = "client_id, price, price_gross, local_price, currency, product_id, product_id_type, transaction_id, purchase_number, refund_ind, refund_time, refund_transaction_id, platform, app_name, session_id, session_number, app_version, trigger_name, device_name, device_version, country, currency_rates_denominator, vat_income_multiplier"
 CTES["inapp_facts"] = f"""
 SELECT z.*, coalesce((cast(event_time AS DATE) = d)::INT, 0) AS new_user
 FROM (
@@ -587,25 +591,35 @@ FROM staged s LEFT JOIN refunds x USING (app_name, transaction_id) WHERE validat
 """
 CTES = {k: v for k, v in CTES.items() if k != "inapp_facts"} | {"valid_tx": _VALID, "inapp_facts": CTES["inapp_facts"]}
 
-_SUB_OUT = "client_id, app_name, transaction_id, event_time, event_transaction_id, original_transaction_id, product_id, type, period_type, is_trial_conversion, takehome_percentage, currency, store, country, cancel_reason"
+_SUB_OUT = "client_id, app_name, transaction_id, event_time, event_transaction_id, original_transaction_id, product_id, type, period_type, is_trial_conversion, takehome_percentage, comission_percentage, currency, store, country, cancel_reason, event_kind, event_name, (coalesce(type, '') = 'CANCELLATION')::INT AS cancel_ind"
 CTES["sub_stream"] = f"""
-SELECT {_SUB_OUT}, source AS event_source, priority, event_name, {_unit_price()} AS local_price
+SELECT s.*, f.vat_income_multiplier, r.value AS currency_rates_denominator,
+  cast({_net('s.local_price', 'r.value', 'f.vat_income_multiplier')} AS {MONEY}) AS price
 FROM (
-  SELECT *, CASE WHEN {_refund_signal()} THEN 'refund' ELSE 'purchase' END AS event_name
+SELECT {_SUB_OUT}, source AS event_source, priority,
+  CASE WHEN event_kind = 'cancellation' THEN cast(0 AS {MONEY}) ELSE {_unit_price()} END AS local_price,
+  CASE WHEN event_kind <> 'purchase' THEN event_transaction_id END AS refund_transaction_id
+FROM (
+  SELECT *, CASE WHEN event_kind = 'purchase' THEN 'purchase' ELSE 'refund' END AS event_name FROM (
+  SELECT *, CASE WHEN {_refund_signal()} THEN 'refund' WHEN type = 'CANCELLATION' THEN 'cancellation' ELSE 'purchase' END AS event_kind
   FROM (SELECT *, 1 AS priority FROM sub_aggregator UNION ALL BY NAME SELECT *, 2 AS priority FROM sub_app_store
-    UNION ALL BY NAME SELECT *, 3 AS priority FROM sub_play)
-) QUALIFY row_number() OVER (PARTITION BY app_name, transaction_id, event_name
+    UNION ALL BY NAME SELECT *, 3 AS priority FROM sub_play))
+) QUALIFY row_number() OVER (PARTITION BY app_name, transaction_id, event_kind
     ORDER BY priority, event_time DESC, event_transaction_id) = 1
+) s LEFT JOIN fees f ON f.platform = upper({_store('s.store')}) AND f.country = s.country
+{_rate('s', 'cast(s.event_time AS DATE)')}
 """
 
 CTES["sub_context"] = _in_session(
     """(SELECT * FROM (SELECT * FROM paid_activations UNION ALL BY NAME SELECT * FROM trial_activations)
   QUALIFY row_number() OVER (PARTITION BY app_name, transaction_id ORDER BY event_time, trigger_name) = 1)""",
     "e.*",
+    "z.session_number, z.device_name, z.device_version",
 )
 
 CTES["sub_clients"] = """
-SELECT s.* EXCLUDE (client_id, country), c.trigger_name, c.app_version, c.session_id, coalesce(s.country, c.country) AS country,
+SELECT s.* EXCLUDE (client_id, country, price, vat_income_multiplier, currency_rates_denominator, cancel_ind, refund_transaction_id),
+  c.trigger_name, c.app_version, c.session_id, c.session_number, c.device_name, c.device_version, coalesce(s.country, c.country) AS country,
   coalesce(nullif(s.client_id, ''), nullif(c.client_id, '')) AS own_client
 FROM sub_stream s LEFT JOIN sub_context c USING (app_name, transaction_id)
 """
@@ -623,7 +637,7 @@ SELECT p.* EXCLUDE (own_client), f.vat_income_multiplier, r.value AS currency_ra
 FROM sub_rows p LEFT JOIN fees f ON f.platform = p.platform AND f.country = p.country
 {_rate('p', 'cast(p.event_time AS DATE)')}
 LEFT JOIN (SELECT app_name, transaction_id, 1 AS one, event_time AS refund_time, event_transaction_id AS refund_transaction_id
-  FROM sub_stream WHERE event_name = 'refund') x ON x.app_name = p.app_name AND x.transaction_id = p.transaction_id
+  FROM sub_stream WHERE event_kind = 'refund') x ON x.app_name = p.app_name AND x.transaction_id = p.transaction_id
 """
 CTES["sub_fact"] = f"""
 SELECT event_name, trigger_name, client_id, app_name, transaction_id, event_time,
@@ -632,7 +646,7 @@ SELECT event_name, trigger_name, client_id, app_name, transaction_id, event_time
   local_price, currency, currency_rates_denominator, vat_income_multiplier, type, period_type, product_id,
   original_transaction_id, is_trial_conversion, store, refund_ind, refund_time, refund_transaction_id, platform,
   (counts AND lid IS NOT NULL AND row_number() OVER (PARTITION BY lid, counts ORDER BY event_time, transaction_id) = 1)::INT AS new_user,
-  app_version, session_id, country, cancel_ind, CASE WHEN cancel_ind = 1 THEN event_time END AS cancel_time, cancel_reason
+  app_version, session_id, session_number, device_name, device_version, country, cancel_ind, CASE WHEN cancel_ind = 1 THEN event_time END AS cancel_time, cancel_reason
 FROM (
   SELECT p.*, u.user_lifetime_id AS lid, p.event_name = 'purchase' AND p.cancel_ind = 0 AS counts
   FROM sub_priced p ASOF LEFT JOIN users_scd2 u
@@ -649,9 +663,9 @@ FROM (SELECT DISTINCT * FROM snapshots_raw)
 _SNAP = "account_id, snapshot_ts, campaign_id"
 
 
-def _exploded(path, kind):
+def _exploded(path, kind, value, extra=""):
     return f"""
-SELECT {_SNAP}, c AS country_code, cast(json_extract_string(payload, '{path}."' || c || '"') AS DOUBLE) AS amount, '{kind}' AS kind
+SELECT {_SNAP}, {extra} c AS country_code, cast(json_extract_string(payload, '{path}."' || c || '"') AS DOUBLE) AS {value}, '{kind}' AS kind
 FROM (SELECT *, unnest(json_keys(payload, '{path}')) AS c FROM snaps)
 """
 
@@ -700,10 +714,10 @@ SELECT client_id, event_time, local_price,
     "first_seen": "SELECT * FROM seen",
     "inapp_staged": "SELECT * FROM staged",
     "inapp_refunds": "SELECT * FROM refunds",
-    "inapp_fact": f"SELECT *, {_nothing('trigger_name app_version session_number device_name device_version media_source creative promo_campaign')} FROM inapp_facts",
+    "inapp_fact": f"SELECT *, {_nothing('media_source creative promo_campaign')} FROM inapp_facts",
     "subscription_stream": "SELECT * FROM sub_stream",
     "subscription_context": "SELECT * FROM sub_context",
-    "subscription_fact": f"SELECT *, {_nothing('session_number device_name device_version media_source creative promo_campaign')} FROM sub_fact",
+    "subscription_fact": f"SELECT *, {_nothing('media_source creative promo_campaign')} FROM sub_fact",
     "rates_scd2": "SELECT * FROM rates",
     "rate_lookup": f"""
 SELECT transaction_id, version, p.currency, event_time, r.value AS rate
@@ -720,8 +734,8 @@ UNION ALL BY NAME SELECT *, 'ad_impression' AS feed FROM imp_feed UNION ALL BY N
 SELECT * EXCLUDE (payload) FROM snaps
 QUALIFY row_number() OVER (PARTITION BY account_id, campaign_id ORDER BY snapshot_ts DESC) = 1""",
     "json_country_explode": f"""
-{_exploded('$.goal.country_code_to_goal_value', 'goal')} UNION ALL BY NAME
-{_exploded('$.budget.country_code_to_daily_budget', 'budget')} UNION ALL BY NAME
+{_exploded('$.goal.country_code_to_goal_value', 'goal', 'goal_value', 'goal_type,')} UNION ALL BY NAME
+{_exploded('$.budget.country_code_to_daily_budget', 'budget', 'daily_budget')} UNION ALL BY NAME
 SELECT {_SNAP}, unnest(json_extract_string(payload, '$.targeting.countries[*]')) AS country_code, 'target' AS kind FROM snaps""",
     "payment_stream": f"""
 SELECT * EXCLUDE (received_at), coalesce(nullif(application, ''), 'unknown') AS app_name, {_store('store_name')} AS platform,
@@ -737,7 +751,8 @@ GROUP BY 1, 2, 3""",
     "revenue_compare": f"""
 SELECT event_date, app_name, platform,
   {', '.join(f"{_money(f'''sum(total) FILTER (source_tag = '{t}')''')} AS {t}_revenue" for t in ['own_events', 'payments', 'store', 'attribution', 'ad_network'])},
-  {', '.join(f"cast({_money(f'''sum(total) FILTER (source_tag = '{t}')''')} - {_money('''sum(total) FILTER (source_tag = 'own_events')''')} AS {MONEY}) AS {t}_delta" for t in ['payments', 'store', 'attribution', 'ad_network'])}
+  {', '.join(f"cast({_money(f'''sum(total) FILTER (source_tag = '{t}')''')} - {_money('''sum(total) FILTER (source_tag = 'own_events')''')} AS {MONEY}) AS {t}_delta" for t in ['payments', 'store', 'attribution', 'ad_network'])},
+  {_money("sum(total) FILTER (source_tag IN ('own_events', 'payments', 'store', 'attribution', 'ad_network'))")} AS total_revenue_all_sources_usd
 FROM (SELECT *, cast(ad_revenue_gross AS {MONEY}) + cast(inapp_revenue_gross AS {MONEY}) + cast(subs_revenue_gross AS {MONEY}) AS total FROM revenue)
 GROUP BY 1, 2, 3""",
     "source_compare": f"""
@@ -765,6 +780,30 @@ SELECT event_date, count(*) AS lifetimes, cast(sum(sessions_count) AS BIGINT) AS
   cast(sum(purchases) AS BIGINT) AS purchases, cast(sum(total_revenue_gross) AS {MONEY}) AS total_revenue_gross,
   cast(sum(total_revenue_net) AS {MONEY}) AS total_revenue_net FROM daily GROUP BY 1""",
     "upsert_partitions": "SELECT * FROM utn",
+    "upsert_keys": "SELECT * FROM utn",
+    "built_marts": """
+SELECT 'cohort_users' AS table_name, count(*) AS rows_count FROM users WHERE cohort_date < DATE '2024-02-01'
+UNION ALL SELECT 'daily', count(*) FROM daily WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+UNION ALL SELECT 'cohort_long', count(*) FROM cohort_long WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+UNION ALL SELECT 'utn', count(*) FROM utn WHERE cohort_date < DATE '2024-02-01'
+UNION ALL SELECT 'payers', count(*) FROM payers WHERE cohort_date < DATE '2024-02-01'
+UNION ALL SELECT 'cohort_wide', count(*) FROM cohort_wide WHERE cohort_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+UNION ALL SELECT 'curves', count(*) FROM curves WHERE cohort_date < DATE '2024-02-01'""",
+    "trusted_times": """
+SELECT cast(event_time AS DATE) AS event_date, count(*) AS rows_count, feed FROM session_events,
+  (SELECT unnest(['session_events', 'transactions', 'session_bounds', 'ad_impressions', 'installs', 'reinstalls', 'purchases',
+    'play_purchases', 'aggregator_subscriptions', 'store_notifications', 'play_subscriptions']) AS feed) GROUP BY ALL""",
+    "run_windows": f"""
+SELECT mode, cast(event_time AS DATE) AS event_date, count(*) AS rows_count FROM inapp JOIN (VALUES
+  ('bounds', DATE '2024-01-05', DATE '2024-01-09'), ('start', DATE '2024-01-20', DATE '2024-01-31'),
+  ('end', DATE '1970-01-01', DATE '2024-01-09'), ('lookback', DATE '2024-01-13', DATE '2024-01-19'),
+  ('full', DATE '1970-01-01', DATE '2024-01-31')) w(mode, a, z) ON cast(event_time AS DATE) BETWEEN a AND z
+WHERE {OWNABLE} GROUP BY ALL""",
+    "unreadable_starts": f"""
+SELECT source_table, count(*) AS rows_count, count(*) FILTER (at IS NULL) AS unreadable_count, min(installed_at) FILTER (at IS NULL) AS unreadable_example
+FROM (SELECT 'installs' AS source_table, installed_at, {_PARSED.format('installed_at')} AS at FROM raw_installs
+  UNION ALL SELECT 'reinstalls', installed_at, coalesce({_PARSED.format('reattributed_at')}, {_PARSED.format('installed_at')}) FROM raw_reinstalls)
+GROUP BY 1""".replace(" AS at ", " AS begins ").replace("(at IS", "(begins IS"),
 }
 
 TABLE_COLUMNS = {

@@ -68,8 +68,12 @@ def source_price(source: Column, price: Column, takehome: Column) -> Column:
 
 
 def is_refund_signal(source: Column, state: Column, notification: Column, reason: Column) -> Column:
-    """Refund rule of each raw feed. ``state`` is the feed's numeric status code."""
-    play = (source == "play") & (state == 101)
+    """Refund rule of each raw feed. ``state`` is the feed's numeric status code.
+
+    The Play feed says 101 either as state (purchases) or as cancel reason (subscriptions).
+    """
+    code = F.coalesce(state == 101, F.lit(False)) | F.coalesce(reason == "101", F.lit(False))
+    play = (source == "play") & code
     store = (source == "app_store") & ((notification == "REFUND") | (state == 5))
     aggregator = (source == "aggregator") & (reason == "CUSTOMER_SUPPORT")
     return F.coalesce(play, F.lit(False)) | F.coalesce(store, F.lit(False)) | F.coalesce(aggregator, F.lit(False))

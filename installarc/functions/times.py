@@ -7,19 +7,21 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted timestamp spellings, tried in order.
-TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
-    "yyyy-MM-dd",
-)
+# Accepted spellings once blank, "T" and offset are written alike: fractions of up to nine digits, with or without
+# seconds, with or without an offset, or a date alone.
+TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm[:ss][.SSSSSSSSS][XXX]", "yyyy-MM-dd")
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Best-effort parse: known spellings, then epoch seconds; NULL when none fits."""
-    attempts = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS]
-    epoch = F.when(text.rlike("^[0-9]{9,11}$"), F.timestamp_seconds(text.try_cast("bigint")))
-    return F.coalesce(*attempts, epoch)
+    """Best-effort parse: dates with or without time, then epoch seconds or milliseconds; NULL when none fits."""
+    plain = F.regexp_replace(F.trim(text), r"^(\d{4}-\d\d-\d\d)[Tt]", "$1 ")
+    plain = F.regexp_replace(plain, r"(:\d\d(?:\.\d+)?)\s*([+-]\d\d):?(\d\d)$", "$1$2:$3")
+    plain = F.regexp_replace(plain, r"(:\d\d(?:\.\d+)?)\s*[Zz]$", "$1Z")
+    attempts = [F.try_to_timestamp(plain, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS]
+    number = plain.try_cast("bigint")
+    seconds = F.when(plain.rlike("^[0-9]{9,11}$"), F.timestamp_seconds(number))
+    millis = F.when(plain.rlike("^[0-9]{12,14}$"), F.timestamp_millis(number))
+    return F.coalesce(*attempts, seconds, millis)
 
 
 def local_date(ts: Column, zone: str) -> Column:

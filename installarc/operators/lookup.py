@@ -8,32 +8,15 @@ split by the skew rule.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from installarc.operators.shape import one_per_key
 from installarc.operators.timeline import asof_join
-
-
-def rate_days(rates: DataFrame, first_day: date, last_day: date) -> DataFrame:
-    """One row per currency and day of closed ``[valid_from_date, valid_to_date]`` windows.
-
-    The small side is unrolled so that facts join on equality alone. The result is
-    bounded by currencies x days between the two dates.
-    """
-    start = F.greatest("valid_from_date", F.lit(first_day))
-    end = F.least(F.coalesce("valid_to_date", F.lit(last_day)), F.lit(last_day))
-    return (
-        rates.withColumns({"_start": start, "_end": end})
-        .filter(F.col("_start") <= F.col("_end"))
-        .select(
-            F.col("currency"),
-            F.explode(F.sequence("_start", "_end")).alias("rate_date"),
-            F.col("value").alias("rate"),
-        )
-    )
+from installarc.sources.tables import as_is
 
 
 def rate_lookup(
@@ -41,49 +24,79 @@ def rate_lookup(
     rates: DataFrame,
     currency: str,
     day: Column,
-    first_day: date,
-    last_day: date,
     name: str = "currency_rates_denominator",
+    base: str = "USD",
+    stage: Callable[[DataFrame], DataFrame] = as_is,
 ) -> DataFrame:
-    """Left lookup of the rate valid on a fact's day; NULL when there is none."""
-    daily = rate_days(rates, first_day, last_day).select(
-        F.col("currency").alias("_cur"), F.col("rate_date").alias("_day"), F.col("rate").alias(name)
+    """Left lookup of the rate against ``base`` valid on a fact's day; NULL when there is none.
+
+    Windows are closed; one without end is valid from its start on. Only the currencies and
+    days that occur are matched with the windows, one row each. That table is staged, so its
+    size is known when the facts are joined to it.
+    """
+    dated = facts.withColumns({"_rate_of": F.col(currency), "_rate_day": day})
+    asked = dated.select("_rate_of", "_rate_day").filter("_rate_of is not null and _rate_day is not null").distinct()
+    windows = rates.filter(F.col("base_currency") == base).select(
+        F.col("currency").alias("_rate_of"), "valid_from_date", "valid_to_date", F.col("value").alias(name)
     )
-    return (
-        facts.withColumn("_fact_day", day)
-        .join(daily, (F.col(currency) == F.col("_cur")) & (F.col("_fact_day") == F.col("_day")), "left")
-        .drop("_cur", "_day", "_fact_day")
+    found = asof_join(
+        asked, windows, ["_rate_of"], "_rate_day", "valid_from_date", ["valid_to_date", name], chunk="month", how="inner"
+    )
+    valid = F.col("valid_to_date").isNull() | (F.col("_rate_day") <= F.col("valid_to_date"))
+    known = stage(found.filter(valid).drop("valid_to_date"))
+    return dated.join(known, ["_rate_of", "_rate_day"], "left").drop("_rate_of", "_rate_day")
+
+
+def session_segments(sessions: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Times at which the owner of a key's events changes, with the owner from then on (NULL: none).
+
+    The owner is the open session that started last. It can only change where a session starts or just after one
+    ends; each such time is judged by the sessions that touch its hour, so no key is ever in one group.
+    """
+    just_after = F.col("session_end") + F.expr("INTERVAL 1 MICROSECOND")
+    touched = sessions.filter(
+        reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]) & (F.col("session_start") <= F.col("session_end"))
+    ).select(
+        *keys,
+        F.explode(
+            F.sequence(F.date_trunc("hour", "session_start"), F.date_trunc("hour", just_after), F.expr("INTERVAL 1 HOUR"))
+        ).alias("_hour"),
+        F.struct("session_start", "session_id", "session_end", just_after.alias("_after"), *carry).alias("_one"),
+    )
+    cells = touched.groupBy(*keys, "_hour").agg(F.collect_set("_one").alias("_open"))
+    times = F.flatten(F.transform("_open", lambda s: F.array(s["session_start"], s["_after"])))
+    inside = F.filter(F.array_distinct(times), lambda t: F.date_trunc("hour", t) == F.col("_hour"))
+    changes = cells.select(*keys, "_open", F.explode(inside).alias("segment_start"))
+    holding = F.filter(
+        "_open",
+        lambda s: (s["session_start"] <= F.col("segment_start")) & (F.col("segment_start") <= s["session_end"]),
+    )
+    return changes.select(*keys, "segment_start", F.array_max(holding).alias("_owner")).select(
+        *keys, "segment_start", *[F.col(f"_owner.{c}").alias(c) for c in ("session_id", *carry)]
     )
 
 
 def session_match(
-    events: DataFrame, sessions: DataFrame, keys: Sequence[str], time: str, how_named: str = "session_id"
+    events: DataFrame, sessions: DataFrame, keys: Sequence[str], time: str, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Session running at an event: the latest one started by then, if not yet over.
+    """Adds the session that holds an event, and its columns ``carry``; of several the one that started last.
 
-    The last instant of a session belongs to it.
+    The first and the last instant of a session belong to it. Columns of ``events`` called like an added one are
+    replaced.
     """
-    found = asof_join(
-        events,
-        sessions.select(
-            *keys,
-            "session_start",
-            F.col("session_id").alias("_sid"),
-            F.col("session_end").alias("_send"),
-        ),
-        keys,
-        time,
-        "session_start",
-        ["_sid", "_send"],
-        tie_break=["_sid"],
-    )
-    running = F.when(F.col(time) <= F.col("_send"), F.col("_sid"))
-    return found.withColumn(how_named, running).drop("_sid", "_send")
+    segments = session_segments(sessions, keys, carry)
+    plain = events.drop("session_id", *carry)
+    return asof_join(plain, segments, keys, time, "segment_start", ["session_id", *carry])
 
 
 def attach(facts: DataFrame, dim: DataFrame, on: str | Sequence[str], default: dict | None = None) -> DataFrame:
-    """Left lookup in a dimension with unique keys; ``default`` fills what was not found."""
-    out = facts.join(dim, on, "left")
+    """Left lookup in a dimension; ``default`` fills what was not found.
+
+    Of several rows of a key one is used, the largest, so a lookup never multiplies facts.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    rest = [c for c in dim.columns if c not in keys]
+    out = facts.join(one_per_key(dim, keys, rest), keys, "left")
     return out.fillna(default) if default else out
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,10 +25,15 @@ def one_per_key(
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
 
 
-def in_shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Columns of a table contract in order; what the input does not carry is NULL text."""
-    missing = F.lit(None).cast("string")
-    return df.select(*[F.col(c) if c in df.columns else missing.alias(c) for c in columns])
+def in_shape(df: DataFrame, columns: Sequence[str], placeholders: Mapping[str, str] = {}) -> DataFrame:
+    """Columns of a table contract in order. ``placeholders`` are NULL of the given type by contract.
+
+    Any other column that the input lacks is an error.
+    """
+    missing = [c for c in columns if c not in df.columns and c not in placeholders]
+    if missing:
+        raise ValueError(f"columns of the contract are missing: {', '.join(missing)}")
+    return df.select(*[F.lit(None).cast(placeholders[c]).alias(c) if c in placeholders else F.col(c) for c in columns])
 
 
 def padded_union(frames: Sequence[DataFrame]) -> DataFrame:

@@ -56,13 +56,8 @@ LAST_ONLY_FIELDS = (
 RETIRED_FIELDS = ("device_type", "device_name", "device_version", "lang", "is_idfa_available")
 
 
-def attribution_events(installs: DataFrame, reinstalls: DataFrame) -> DataFrame:
-    """Both streams as one, with parsed start times, one row per user and start time.
-
-    A reinstall starts when the user was reattributed, or was installed if that is
-    missing. Of several deliveries of one event the highest version stays; rows whose
-    time cannot be parsed are dropped.
-    """
+def _with_times(installs: DataFrame, reinstalls: DataFrame) -> DataFrame:
+    """Both streams as one, with parsed start times."""
     first = installs.withColumns(
         {
             "install_time": parse_timestamp(F.col("installed_at")),
@@ -79,11 +74,32 @@ def attribution_events(installs: DataFrame, reinstalls: DataFrame) -> DataFrame:
             "is_install": F.lit(0),
         }
     )
-    rows = padded_union([first, again]).drop("installed_at", "reattributed_at")
+    return padded_union([first, again])
+
+
+def attribution_events(installs: DataFrame, reinstalls: DataFrame) -> DataFrame:
+    """Both streams as one, with parsed start times, one row per user and start time.
+
+    A reinstall starts when the user was reattributed, or was installed if that is
+    missing. Of several deliveries of one event the highest version stays; rows whose
+    time cannot be parsed are left out, and ``unreadable_starts`` counts them.
+    """
+    rows = _with_times(installs, reinstalls).drop("installed_at", "reattributed_at")
     known = rows.filter(F.col("install_time").isNotNull() & dims.usable_client(F.col("client_id")))
     return one_per_key(known, [*USER, "install_time"], ["version", "source_table", "activity_kind"])
 
 
+def unreadable_starts(installs: DataFrame, reinstalls: DataFrame) -> DataFrame:
+    """Rows of each stream by whether their start time can be read, with an example of those that can't."""
+    rows = _with_times(installs, reinstalls)
+    lost = F.col("install_time").isNull()
+    return rows.groupBy("source_table").agg(
+        F.count(F.lit(1)).alias("rows_count"),
+        F.count_if(lost).alias("unreadable_count"),
+        F.min(F.when(lost, F.col("installed_at"))).alias("unreadable_example"),
+    )
+
+
 def install_lifetimes(events: DataFrame) -> DataFrame:
     """SCD2 lifetimes: each attribution event opens one and the next event closes it.
 

@@ -52,7 +52,7 @@ def build_marts(
     payers = cohorts.payers(read("cohort_users"), inputs["inapp"], inputs["subscription"], config)
     write_full(payers, paths["payers"], "cohort_date", ["application", "client_id", "user_lifetime_id"])
     wide = cohorts.cohort_wide(read("cohort_long"), read("payers"), read("utn"), config)
-    replace_partitions(wide, paths["cohort_wide"], "cohort_date", list(COHORT_KEY))
+    replace_partitions(wide, paths["cohort_wide"], "cohort_date", list(COHORT_KEY), owned=lambda value: True)
     curves = cohorts.monetization_curves(read("cohort_long"), config)
     write_full(curves, paths["curves"], "cohort_date", [*COHORT_KEY, "cohort_day"])
     return paths

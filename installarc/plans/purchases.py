@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from installarc.functions import dims, events
@@ -51,6 +50,15 @@ FACT_COLUMNS = (
 )
 
 
+CAMPAIGN_FIELDS = ("campaign_name", "parent_campaign_name", "campaign_type")
+# Attribution columns that the contract keeps NULL.
+PLACEHOLDERS = {"media_source": "string", "creative": "string", "promo_campaign": "string"}
+
+
+def _placeholders() -> dict[str, Column]:
+    return {name: F.lit(None).cast(kind) for name, kind in PLACEHOLDERS.items()}
+
+
 def inapp_staged(
     purchases: DataFrame,
     products: DataFrame,
@@ -58,13 +66,13 @@ def inapp_staged(
     fees: DataFrame,
     rates: DataFrame,
     sessions: DataFrame,
-    first_day: date,
-    last_day: date,
+    campaigns: DataFrame,
     stage: Callable[[DataFrame], DataFrame] = as_is,
 ) -> DataFrame:
-    """Purchase rows, one per transaction, with price, product, session and check flag.
+    """Purchase rows, one per transaction, with price, product, campaign, session and check flag.
 
-    ``fees`` holds the net multiplier per platform and country (store fee and VAT).
+    ``fees`` holds the net multiplier per platform and country (store fee and VAT). The
+    session number is the purchase event's own, else that of the matched session.
     Rows are staged once without copies and once enriched, because numbering and
     session matching each read their input twice.
     """
@@ -84,13 +92,20 @@ def inapp_staged(
     ).drop("price", "takehome_percentage", "version")
     enriched = attach(priced, products.select("product_id", "product_id_type"), "product_id")
     enriched = attach(enriched, fees.select("platform", "country", "vat_income_multiplier"), ["platform", "country"])
-    enriched = rate_lookup(enriched, rates, "currency", F.to_date("event_time"), first_day, last_day)
+    enriched = attach(enriched, campaigns.select("campaign_id", *CAMPAIGN_FIELDS), "campaign_id").drop("campaign_id")
+    enriched = rate_lookup(enriched, rates, "currency", F.to_date("event_time"), stage=stage)
     enriched = flag_matches(enriched, validations, TX, "validator_matched")
-    return session_match(stage(enriched), sessions, USER, "event_time")
+    own = enriched.withColumnRenamed("session_number", "_own_number")
+    matched = session_match(stage(own), sessions, USER, "event_time", ["session_number"])
+    number = F.coalesce("_own_number", "session_number")
+    return matched.withColumns({"session_number": number, **_placeholders()}).drop("_own_number")
 
 
 def inapp_refunds(staged: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Refund signals of all feeds matched to purchases: the earliest one per purchase."""
+    """Refund signals of all feeds matched to purchases: the earliest possible one per purchase.
+
+    A signal from before the purchase can't be its refund and does not hide a later one.
+    """
     signal = events.is_refund_signal(
         F.col("source"), F.col("state"), F.col("notification"), F.col("cancel_reason")
     )
@@ -101,20 +116,17 @@ def inapp_refunds(staged: DataFrame, candidates: DataFrame) -> DataFrame:
         "refund_transaction_id",
         F.col("source").alias("refund_source"),
     )
-    first = one_per_key(found, TX, ["refund_time", "refund_transaction_id"], keep="first")
     bought = staged.select(*TX, "platform", "event_time")
-    return (
-        first.join(bought, TX)
-        .filter(F.col("refund_time") >= F.col("event_time"))
-        .select(
-            "app_name",
-            "platform",
-            "transaction_id",
-            F.lit(1).alias("refund_ind"),
-            "refund_time",
-            "refund_transaction_id",
-            "refund_source",
-        )
+    possible = found.join(bought, TX).filter(F.col("refund_time") >= F.col("event_time"))
+    first = one_per_key(possible, TX, ["refund_time", "refund_transaction_id"], keep="first")
+    return first.select(
+        "app_name",
+        "platform",
+        "transaction_id",
+        F.lit(1).alias("refund_ind"),
+        "refund_time",
+        "refund_transaction_id",
+        "refund_source",
     )
 
 
@@ -137,7 +149,7 @@ def inapp_fact(staged: DataFrame, refunds: DataFrame) -> DataFrame:
     first_days = valid.groupBy(*USER).agg(F.min(F.to_date("event_time")).alias("_first_day"))
     dated = attach(rows, first_days, USER)
     new_user = F.coalesce((F.to_date("event_time") == F.col("_first_day")).cast("int"), F.lit(0))
-    return in_shape(dated.withColumn("new_user", new_user), FACT_COLUMNS)
+    return in_shape(dated.withColumn("new_user", new_user), FACT_COLUMNS, PLACEHOLDERS)
 
 
 def payment_stream(payments: DataFrame) -> DataFrame:

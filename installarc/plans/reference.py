@@ -39,27 +39,32 @@ def rates_scd2(snapshots: DataFrame) -> DataFrame:
 # --- campaign snapshots -----------------------------------------------------------
 
 
+PAYLOAD = """struct<
+  goal: struct<goal_type: string, country_code_to_goal_value: map<string, double>>,
+  budget: struct<country_code_to_daily_budget: map<string, double>>,
+  targeting: struct<countries: array<string>>>"""
+
+
 def campaign_snapshots(raw: DataFrame) -> DataFrame:
-    """Snapshots without repeated deliveries, with the goal type and raw JSON blocks."""
+    """Snapshots without repeated deliveries, with the goal type and the country blocks of their payload, parsed once."""
     once = one_per_key(raw, ["account_id", "campaign_id", "snapshot_ts"], ["payload"])
-    return once.select(
+    return once.withColumn("_payload", F.from_json("payload", PAYLOAD)).select(
         "account_id",
         F.to_date("snapshot_ts").alias("snapshot_date"),
         "snapshot_ts",
         "campaign_id",
         "campaign_name",
-        F.get_json_object("payload", "$.goal.goal_type").alias("goal_type"),
-        F.get_json_object("payload", "$.targeting.countries").alias("targeting_countries_raw"),
-        F.get_json_object("payload", "$.goal.country_code_to_goal_value").alias("goal_country_values_raw"),
-        F.get_json_object("payload", "$.budget.country_code_to_daily_budget").alias(
-            "budget_country_values_raw"
-        ),
+        F.col("_payload.goal.goal_type").alias("goal_type"),
+        F.col("_payload.targeting.countries").alias("targeting_countries"),
+        F.col("_payload.goal.country_code_to_goal_value").alias("goal_country_values"),
+        F.col("_payload.budget.country_code_to_daily_budget").alias("budget_country_values"),
     )
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """Newest snapshot of every campaign."""
-    return one_per_key(snapshots, ["account_id", "campaign_id"], ["snapshot_ts"])
+    """Newest snapshot of every campaign, without its country blocks."""
+    plain = snapshots.drop("targeting_countries", "goal_country_values", "budget_country_values")
+    return one_per_key(plain, ["account_id", "campaign_id"], ["snapshot_ts"])
 
 
 CAMPAIGN = ("account_id", "snapshot_ts", "campaign_id")
@@ -67,21 +72,17 @@ CAMPAIGN = ("account_id", "snapshot_ts", "campaign_id")
 
 def campaign_targeting(snapshots: DataFrame) -> DataFrame:
     """One row per targeted country."""
-    countries = F.from_json("targeting_countries_raw", "array<string>")
-    return snapshots.select(*CAMPAIGN, F.explode(countries).alias("country_code"))
+    return snapshots.select(*CAMPAIGN, F.explode("targeting_countries").alias("country_code"))
 
 
-def country_values(snapshots: DataFrame, raw: str, name: str, *extra: str) -> DataFrame:
-    """One row per entry of a JSON object keyed by country."""
-    values = F.from_json(raw, "map<string,double>")
-    return snapshots.select(*CAMPAIGN, *extra, F.explode(values).alias("country_code", name))
+def campaign_goals(snapshots: DataFrame) -> DataFrame:
+    """One row per country with a goal value of its own."""
+    return snapshots.select(*CAMPAIGN, "goal_type", F.explode("goal_country_values").alias("country_code", "goal_value"))
 
 
-def campaign_country_values(snapshots: DataFrame) -> DataFrame:
-    """Goal values and daily budgets by country, stacked with a kind column."""
-    goals = country_values(snapshots, "goal_country_values_raw", "amount")
-    budgets = country_values(snapshots, "budget_country_values_raw", "amount")
-    return goals.withColumn("kind", F.lit("goal")).unionByName(budgets.withColumn("kind", F.lit("budget")))
+def campaign_budgets(snapshots: DataFrame) -> DataFrame:
+    """One row per country with a daily budget of its own."""
+    return snapshots.select(*CAMPAIGN, F.explode("budget_country_values").alias("country_code", "daily_budget"))
 
 
 # --- profiles and correlation -----------------------------------------------------

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from installarc.functions.times import first_day_reaching, local_date, local_dat
 from installarc.operators.lookup import rate_lookup
 from installarc.operators.shape import padded_union
 from installarc.settings import MartConfig
+from installarc.sources.tables import as_is
 
 KEYS = ("event_date", "app_name", "platform", "source_tag", "source_model")
 AMOUNTS = ("ad_revenue_gross", "inapp_revenue_gross", "subs_revenue_gross")
@@ -178,7 +180,7 @@ def revenue_by_source(
 
 
 def compare_sources(revenue: DataFrame, tags: Sequence[str], base: str) -> DataFrame:
-    """One row per day, app and platform: each source's total and its gap to ``base``."""
+    """One row per day, app and platform: each source's total, its gap to ``base``, and the sum of all sources."""
     ad, inapp, subs = [money(F.col(m)) for m in AMOUNTS]
     wide = (
         revenue.withColumn("total", money(ad + inapp + subs))
@@ -192,7 +194,10 @@ def compare_sources(revenue: DataFrame, tags: Sequence[str], base: str) -> DataF
         for t in tags
         if t != base
     ]
-    return wide.select("event_date", "app_name", "platform", *totals, *gaps)
+    everything = reduce(lambda a, b: a + b, [money_or_zero(F.col(t)) for t in tags])
+    return wide.select(
+        "event_date", "app_name", "platform", *totals, *gaps, money(everything).alias("total_revenue_all_sources_usd")
+    )
 
 
 def compare_ad_sources(left: DataFrame, right: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
@@ -232,13 +237,13 @@ def daily_feed(
     return shaped.groupBy("event_date", *keys).agg(*sums)
 
 
-def attribution_feed(rows: DataFrame) -> DataFrame:
+def attribution_feed(rows: DataFrame, source_table: str = "attribution") -> DataFrame:
     """Attribution-tool revenue split into subscription, in-app and ad buckets."""
     amount, kind = money(F.col("revenue_usd")), F.col("revenue_kind")
     return daily_feed(
         rows,
         F.to_date("event_time"),
-        {"app_name": F.col("app_name"), "platform": F.col("platform")},
+        {"source_table": F.lit(source_table), "app_name": F.col("app_name"), "platform": F.col("platform")},
         {
             "revenue_total": amount,
             "revenue_subscription": F.when(kind == "subscription", amount),
@@ -250,14 +255,14 @@ def attribution_feed(rows: DataFrame) -> DataFrame:
     )
 
 
-def store_feed(rows: DataFrame) -> DataFrame:
+def store_feed(rows: DataFrame, source_table: str = "store") -> DataFrame:
     """Store-report revenue: gross and net, subscription and in-app."""
     gross, net = money(F.col("gross_usd")), money(F.col("net_usd"))
     is_sub = F.col("is_subscription") == 1
     return daily_feed(
         rows,
         F.to_date("event_time"),
-        {"app_name": F.col("app_name"), "platform": F.col("platform")},
+        {"source_table": F.lit(source_table), "app_name": F.col("app_name"), "platform": F.col("platform")},
         {
             "revenue_gross_usd": gross,
             "revenue_net_usd": net,
@@ -268,9 +273,10 @@ def store_feed(rows: DataFrame) -> DataFrame:
     )
 
 
-def ad_feed(rows: DataFrame, *extra_keys: str) -> DataFrame:
+def ad_feed(rows: DataFrame, *extra_keys: str, source_table: str = "ad") -> DataFrame:
     """Ad revenue by ad type; used for the impression feed and the user feed."""
     keys = {k: F.col(k) for k in ("app_name", *extra_keys, "platform", "ad_type")}
+    keys = {"source_table": F.lit(source_table), **keys}
     return daily_feed(
         rows,
         F.to_date("event_time"),
@@ -284,19 +290,8 @@ def ad_feed(rows: DataFrame, *extra_keys: str) -> DataFrame:
 AD_FORMATS = ("banner", "interstitial", "rewarded", "native", "mrec")
 
 
-def ad_user_daily(primary: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """Impressions and ad revenue per user and UTC day, split by ad format.
-
-    ``history`` fills the dates the primary source does not cover. The list of covered
-    dates is at most one row per calendar day.
-    """
-    rows = primary.withColumn("source_table", F.lit("primary"))
-    if history is not None:
-        day = F.to_date("event_time")
-        covered = primary.select(day.alias("_day")).distinct()
-        older = history.withColumn("_day", day).join(covered, "_day", "left_anti").drop("_day")
-        rows = padded_union([rows, older.withColumn("source_table", F.lit("history"))])
-
+def _ad_days(rows: DataFrame) -> DataFrame:
+    """Impressions and revenue of one source folded to user and UTC day."""
     kind = F.lower(F.coalesce("ad_format", F.lit("")))
     kind = F.when(kind.isin(*AD_FORMATS), kind).otherwise("other")
     amount = money(F.col("revenue"))
@@ -307,9 +302,8 @@ def ad_user_daily(primary: DataFrame, history: DataFrame | None = None) -> DataF
         "client_id",
         kind.alias("_kind"),
         amount.alias("_amount"),
-        "source_table",
     )
-    return shaped.groupBy("event_date", "app_name", "client_id", "source_table").agg(
+    return shaped.groupBy("event_date", "app_name", "client_id").agg(
         F.count(F.lit(1)).alias("impressions_total"),
         F.count(F.lit(1)).alias("impressions_count"),
         money_or_zero(F.sum("_amount")).alias("revenue_total"),
@@ -319,6 +313,26 @@ def ad_user_daily(primary: DataFrame, history: DataFrame | None = None) -> DataF
     )
 
 
+def ad_user_daily(
+    primary: DataFrame,
+    history: DataFrame | None,
+    run_ts: datetime,
+    stage: Callable[[DataFrame], DataFrame] = as_is,
+) -> DataFrame:
+    """Impressions and ad revenue per user and UTC day, split by ad format.
+
+    ``history`` fills the dates the primary source does not cover. Both sources are folded before they
+    meet; the folded primary is staged, and its dates, one row per calendar day, are read from there.
+    """
+    first = stage(_ad_days(primary).withColumn("source_table", F.lit("primary")))
+    rows = first
+    if history is not None:
+        covered = first.select("event_date").distinct()
+        older = _ad_days(history).join(covered, "event_date", "left_anti")
+        rows = padded_union([first, older.withColumn("source_table", F.lit("history"))])
+    return rows.withColumn("updated_at_utc", F.lit(run_ts).cast("timestamp"))
+
+
 SPEND_DIMS = (
     "day",
     "platform",
@@ -328,7 +342,11 @@ SPEND_DIMS = (
     "promo_campaign",
     "promo_campaign_id",
     "adset",
+    "adset_id",
     "ad",
+    "ad_id",
+    "site_id",
+    "keywords",
 )
 
 
@@ -355,7 +373,9 @@ def network_spend(raw: DataFrame, media_source: str, columns: Mapping[str, str])
     )
 
 
-def ua_costs(networks: Sequence[DataFrame], rates: DataFrame, first_day: date, last_day: date) -> DataFrame:
+def ua_costs(
+    networks: Sequence[DataFrame], rates: DataFrame, stage: Callable[[DataFrame], DataFrame] = as_is
+) -> DataFrame:
     """Spend of all networks by day and campaign, in one currency.
 
     Reports are summed before conversion, so the rate join sees one row per group.
@@ -366,7 +386,7 @@ def ua_costs(networks: Sequence[DataFrame], rates: DataFrame, first_day: date, l
         .groupBy(*SPEND_DIMS, "currency")
         .agg(*[F.sum(m).alias(m) for m in ("cost", "clicks", "impressions")])
     )
-    rated = rate_lookup(grouped, rates, "currency", F.col("day"), first_day, last_day, "rate")
+    rated = rate_lookup(stage(grouped), rates, "currency", F.col("day"), "rate", stage=stage)
     usd = money(price_gross_usd(F.col("cost"), F.col("rate")))
     return (
         rated.withColumn("cost", usd)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +19,8 @@ TX = ["app_name", "transaction_id"]
 CHAIN = ["app_name", "original_transaction_id"]
 
 CONTEXT_FIELDS = ("trigger_name", "app_version", "session_number", "session_id", "device_name", "device_version")
+# Attribution columns that the contract keeps NULL.
+PLACEHOLDERS = {"media_source": "string", "creative": "string", "promo_campaign": "string"}
 FACT_COLUMNS = (
     "event_name",
     "trigger_name",
@@ -59,35 +60,56 @@ FACT_COLUMNS = (
 )
 
 
-def subscription_stream(sources: Sequence[DataFrame]) -> DataFrame:
+def priced(rows: DataFrame, rates: DataFrame, fees: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Adds platform, net multiplier, rate, and net and gross USD prices to rows with a store, country and local price."""
+    rows = rows.withColumn("platform", dims.store_label_of(dims.store_platform_of(F.col("store"))))
+    rows = attach(rows, fees.select("platform", "country", "vat_income_multiplier"), ["platform", "country"])
+    rows = rate_lookup(rows, rates, "currency", F.to_date("event_time"), stage=stage)
+    rate, fee, local = F.col("currency_rates_denominator"), F.col("vat_income_multiplier"), F.col("local_price")
+    return rows.withColumns(
+        {"price": money(price_usd(local, rate, fee)), "price_gross": money(price_gross_usd(local, rate))}
+    )
+
+
+PRICED = ("platform", "vat_income_multiplier", "currency_rates_denominator", "price", "price_gross")
+
+
+def subscription_stream(
+    sources: Sequence[DataFrame], rates: DataFrame, fees: DataFrame, stage: Callable[[DataFrame], DataFrame] = as_is
+) -> DataFrame:
     """Transactions of several feeds in falling priority, one row per transaction and kind.
 
-    The best feed that knows a transaction describes it; within a feed the latest
-    delivery wins. Refunds and purchases of one transaction are separate rows.
+    The kinds are purchase, refund and cancellation, so neither of the latter ever replaces
+    a purchase or counts as one. A cancellation that is no refund is named ``refund`` with
+    ``cancel_ind`` 1, as the contract knows two names, and pays nothing back: its amount is 0.
+    The best feed that knows a transaction describes it; within a feed the latest delivery wins.
     """
     ranked = [df.withColumn("priority", F.lit(i + 1)) for i, df in enumerate(sources)]
     rows = padded_union(ranked)
     refund = events.is_refund_signal(
         F.col("source"), F.col("state"), F.col("notification"), F.col("cancel_reason")
     )
-    priced = rows.withColumns(
+    cancelled = F.coalesce(F.col("type") == "CANCELLATION", F.lit(False))
+    kind = F.when(refund, "refund").when(cancelled, "cancellation").otherwise("purchase")
+    amount = events.source_price(F.col("source"), F.col("price"), F.col("takehome_percentage"))
+    kinds = rows.withColumns({"event_kind": kind, "cancel_ind": cancelled.cast("int")}).withColumns(
         {
-            "event_name": F.when(refund, "refund").otherwise("purchase"),
-            "local_price": events.source_price(
-                F.col("source"), F.col("price"), F.col("takehome_percentage")
-            ),
+            "event_name": F.when(F.col("event_kind") == "purchase", "purchase").otherwise("refund"),
+            "local_price": F.when(F.col("event_kind") == "cancellation", money(F.lit(0))).otherwise(amount),
+            "refund_transaction_id": F.when(F.col("event_kind") != "purchase", F.col("event_transaction_id")),
         }
-    ).drop("price")
+    )
     best = [F.col("priority"), -F.unix_micros("event_time"), F.col("event_transaction_id")]
-    once = one_per_key(priced, [*TX, "event_name"], best, keep="first")
-    return once.withColumnRenamed("source", "event_source").drop("state", "notification")
+    once = one_per_key(kinds.drop("price"), [*TX, "event_kind"], best, keep="first")
+    once = once.withColumnRenamed("source", "event_source").drop("state", "notification")
+    return priced(stage(once), rates, fees, stage).drop("platform", "price_gross")
 
 
 def subscription_context(paid: DataFrame, trials: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Activation context per transaction: the earliest activation and its session."""
+    """Activation context per transaction: the earliest activation, and number and device of its session."""
     both = padded_union([paid, trials])
     first = one_per_key(both, TX, ["event_time", "trigger_name"], keep="first")
-    return session_match(first, sessions, USER, "event_time")
+    return session_match(first, sessions, USER, "event_time", ["session_number", "device_name", "device_version"])
 
 
 def chain_clients(rows: DataFrame) -> DataFrame:
@@ -105,8 +127,6 @@ def subscription_fact(
     lifetimes: DataFrame,
     rates: DataFrame,
     fees: DataFrame,
-    first_day: date,
-    last_day: date,
     stage: Callable[[DataFrame], DataFrame] = as_is,
 ) -> DataFrame:
     """Subscription event rows with client, price, refund, cancel and new-user flags.
@@ -120,14 +140,15 @@ def subscription_fact(
         F.col("country").alias("_context_country"),
         *[c for c in CONTEXT_FIELDS if c in context.columns],
     )
-    rows = attach(stream, known, TX).withColumns(
+    unpriced = stream.drop(*PRICED, "cancel_ind", "refund_transaction_id")
+    rows = attach(unpriced, known, TX).withColumns(
         {
             "client_id": F.coalesce(F.nullif("client_id", F.lit("")), F.nullif("_context_client", F.lit(""))),
             "country": F.coalesce("country", "_context_country"),
         }
     )
     rows = stage(rows.drop("_context_client", "_context_country"))
-    refunds = rows.filter(F.col("event_name") == "refund").select(
+    refunds = rows.filter(F.col("event_kind") == "refund").select(
         *TX,
         F.lit(1).alias("refund_ind"),
         F.col("event_time").alias("refund_time"),
@@ -136,20 +157,10 @@ def subscription_fact(
     rows = attach(rows, chain_clients(rows), CHAIN).withColumn(
         "client_id", F.coalesce("client_id", "_chain_client")
     )
-    rows = rows.withColumn("platform", dims.store_label_of(dims.store_platform_of(F.col("store"))))
-    rows = attach(rows, fees.select("platform", "country", "vat_income_multiplier"), ["platform", "country"])
-    rows = rate_lookup(rows, rates, "currency", F.to_date("event_time"), first_day, last_day)
-    rows = attach(rows, refunds, TX, {"refund_ind": 0})
-
-    rate, fee, local = F.col("currency_rates_denominator"), F.col("vat_income_multiplier"), F.col("local_price")
+    rows = attach(priced(rows, rates, fees, stage), refunds, TX, {"refund_ind": 0})
     cancelled = (F.coalesce("type", F.lit("")) == "CANCELLATION") | F.col("cancel_reason").isNotNull()
     rows = rows.withColumns(
-        {
-            "price": money(price_usd(local, rate, fee)),
-            "price_gross": money(price_gross_usd(local, rate)),
-            "cancel_ind": cancelled.cast("int"),
-            "cancel_time": F.when(cancelled, F.col("event_time")),
-        }
+        {"cancel_ind": cancelled.cast("int"), "cancel_time": F.when(cancelled, F.col("event_time"))}
     )
     owned = stage(asof_join(stage(rows), lifetimes, USER, "event_time", "install_time", ["user_lifetime_id"]))
     counts_as_new = (
@@ -164,4 +175,4 @@ def subscription_fact(
     flagged = attach(owned, firsts, "user_lifetime_id").withColumn(
         "new_user", F.coalesce(is_first, F.lit(False)).cast("int")
     )
-    return in_shape(flagged, FACT_COLUMNS)
+    return in_shape(flagged, FACT_COLUMNS, PLACEHOLDERS)

@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Day horizons of the wide mart.
 DAY_BUCKETS = (0, 1, 2, 3, 7, 14, 30, 180, 360)
 
 

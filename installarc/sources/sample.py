@@ -84,13 +84,18 @@ _RAW_INSTALL_COLUMNS = """
   'd' || cast(k % 9 as string) as donor_id, 'site' || cast(k % 7 as string) as site_id
 """
 
-# Start times in several spellings, one of them unreadable.
+# Start times in all usual spellings, one of them unreadable.
 VIEWS["raw_installs"] = f"""
 select {_RAW_INSTALL_COLUMNS},
   case when k % 10 = 0 then 'n/a'
        when k % 10 = 1 then replace(cast(ts as string), ' ', 'T') || 'Z'
        when k % 10 = 2 then cast(day as string)
        when k % 10 = 3 then '17040672' || cast(10 + k as string)
+       when k % 20 = 4 then '17040672' || cast(10 + k as string) || '123'
+       when k % 20 = 14 then substr(cast(ts as string), 1, 16)
+       when k % 20 = 5 then substr(cast(ts as string), 1, 19) || '+0000'
+       when k % 20 = 15 then substr(cast(ts as string), 1, 19) || ' +00:00'
+       when k % 10 = 6 then substr(cast(ts as string), 1, 19) || '.123456000'
        else cast(ts as string) end as installed_at,
   ts as version
 from $install_fields where event_id % 3 <> 0
@@ -137,9 +142,11 @@ from $ev
 where (event_type = 'purchase' and event_id % 2 = 1) or (event_type = 'error' and event_id % 6 = 1)
 """
 
+# Sessions of an hour; every ninth event belongs to one that spans the day around them.
 VIEWS["session_events"] = """
 select app_name, client_id, ts as event_time, event_type as event_name,
-  cast(user_id as string) || '-' || cast(day as string) || '-' || cast(hour(ts) as string) as session_id,
+  case when k % 9 = 0 then cast(user_id as string) || '-' || cast(day as string)
+       else cast(user_id as string) || '-' || cast(day as string) || '-' || cast(hour(ts) as string) end as session_id,
   cast(extract(day from ts) * 24 + extract(hour from ts) as int) as session_number,
   'v' || cast(k % 4 as string) as app_version, country,
   'd' || cast(k % 3 as string) as device_name, 'os' || cast(k % 5 as string) as device_version
@@ -170,8 +177,10 @@ from $ev where event_type in ('view', 'click')
 VIEWS["spend_a"] = """
 select ts as report_time, platform as os, app_name as app, country as geo,
   'camp_' || cast(event_id % 3 as string) as campaign, 'cid_' || cast(event_id % 3 as string) as campaign_id,
-  'set_' || cast(event_id % 2 as string) as ad_group,
+  'set_' || cast(event_id % 2 as string) as ad_group, 'xset_' || cast(k % 2 as string) as ad_group_id,
   case when k % 6 = 0 then cast(null as string) else 'ad_' || cast(event_id % 2 as string) end as creative,
+  case when k % 6 = 0 then cast(null as string) else 'xad_' || cast(k % 4 as string) end as creative_id,
+  'site' || cast(k % 3 as string) as publisher,
   amount as spend, k % 4 as clicks, k as shows
 from $ev where event_type = 'click' and k < 60
 """
@@ -187,6 +196,9 @@ VIEWS["rate_snapshots"] = """
 select 'USD' as base_currency, currency_code as currency, ts as rate_time,
   cast(1 + (k % 5) * 0.25 as decimal(18,8)) as value
 from $ev where event_type = 'error'
+union all
+select 'EUR' as base_currency, currency_code as currency, ts as rate_time, cast(9 as decimal(18,8)) as value
+from $ev where event_type = 'error' and k % 3 = 0
 """
 
 # --- payments and revenue feeds ---
@@ -237,7 +249,15 @@ from $lineitem
 # --- raw in-app purchases ---
 
 _PURCHASE_COLUMNS = """
-  't' || cast(event_id as string) as transaction_id, app_name, client_id, platform, country, ts as event_time,
+  't' || cast(event_id as string) as transaction_id, app_name, client_id, platform, country,
+  case when event_id % 26 = 0 then ts + interval 60 days when event_id % 26 = 2 then ts - interval 60 days
+       else ts end as event_time,
+  'v' || cast(k % 4 as string) as app_version, case when k % 3 = 0 then k else cast(null as int) end as session_number,
+  'd' || cast(k % 3 as string) as device_name, 'os' || cast(k % 5 as string) as device_version,
+  'offer_' || cast(k % 3 as string) as trigger_name, k as trigger_number, k % 6 as session_trigger_number,
+  case when k % 2 = 0 then 'none' else 'active' end as subscription_status, cast(k % 12 as string) as level,
+  case when k % 2 = 0 then 'classic' else cast(null as string) end as mode,
+  'cid_' || cast(event_id % 4 as string) as campaign_id,
   case when event_id % 3 = 0 then 'play' when event_id % 3 = 1 then 'app_store' else 'aggregator' end as source,
   cast(amount * (case when event_id % 3 = 0 then 1000000 when event_id % 3 = 1 then 1000 else 1 end)
     as decimal(28,8)) as price,
@@ -245,6 +265,7 @@ _PURCHASE_COLUMNS = """
   currency_code as currency, 'p' || cast(event_id % 250 as string) as product_id
 """
 
+# Some purchases lie before the first and long after the last exchange rate.
 VIEWS["purchases_raw"] = f"""
 select {_PURCHASE_COLUMNS}, ts as version from $ev where event_type = 'purchase' and event_id % 2 = 0
 union all
@@ -259,6 +280,13 @@ select 'p' || cast(p_partkey as string) as product_id,
 from $part
 """
 
+VIEWS["campaigns"] = """
+select 'cid_' || cast(r_regionkey as string) as campaign_id, 'Campaign ' || r_name as campaign_name,
+  case when r_regionkey % 2 = 0 then 'Parent' else cast(null as string) end as parent_campaign_name,
+  'type_' || cast(r_regionkey % 2 as string) as campaign_type
+from $region where r_regionkey < 3
+"""
+
 VIEWS["validations"] = """
 select app_name, 't' || cast(event_id as string) as transaction_id
 from $ev where event_type = 'purchase' and event_id % 7 <> 0
@@ -309,6 +337,7 @@ select {_SUB_COLUMNS}, 'a' || cast(event_id as string) as event_transaction_id,
   case when k % 5 = 0 then cast(null as string) else client_id end as client_id, ts as event_time,
   case when k % 2 = 0 then 'RENEWAL' else 'INITIAL_PURCHASE' end as type,
   cast(amount as decimal(28,8)) as price, cast(0.85 as decimal(9,6)) as takehome_percentage,
+  cast(0.15 as decimal(9,6)) as comission_percentage,
   case when k % 2 = 0 then 'App_Store' else 'play_store' end as store, country,
   cast(null as int) as state, cast(null as string) as notification, cast(null as string) as cancel_reason
 from $ev where event_type = 'purchase' and event_id % 2 = 1 and k % 3 <> 0
@@ -316,9 +345,18 @@ union all
 select {_SUB_COLUMNS}, 'ar' || cast(event_id as string) as event_transaction_id, 'aggregator' as source,
   cast(null as string) as client_id, ts + interval 3 hour as event_time, 'CANCELLATION' as type,
   cast(amount as decimal(28,8)) as price, cast(0.85 as decimal(9,6)) as takehome_percentage,
+  cast(0.15 as decimal(9,6)) as comission_percentage,
   case when k % 2 = 0 then 'App_Store' else 'play_store' end as store, country,
   cast(null as int) as state, cast(null as string) as notification, 'CUSTOMER_SUPPORT' as cancel_reason
 from $ev where event_type = 'purchase' and event_id % 2 = 1 and k % 6 = 1
+union all
+select {_SUB_COLUMNS}, 'au' || cast(event_id as string) as event_transaction_id, 'aggregator' as source,
+  cast(null as string) as client_id, ts + interval 2 days as event_time, 'CANCELLATION' as type,
+  cast(amount as decimal(28,8)) as price, cast(0.85 as decimal(9,6)) as takehome_percentage,
+  cast(0.15 as decimal(9,6)) as comission_percentage,
+  case when k % 2 = 0 then 'App_Store' else 'play_store' end as store, country,
+  cast(null as int) as state, cast(null as string) as notification, 'UNSUBSCRIBE' as cancel_reason
+from $ev where event_type = 'purchase' and event_id % 2 = 1 and k % 5 = 2
 """
 
 VIEWS["sub_app_store"] = f"""
@@ -338,7 +376,7 @@ select {_SUB_COLUMNS}, 'g' || cast(event_id as string) as event_transaction_id,
   client_id, ts + interval 2 minute as event_time, 'PLAY_PURCHASE' as type,
   cast(amount * 1000000 as decimal(28,8)) as price, cast(null as decimal(9,6)) as takehome_percentage,
   'play_store' as store, country, case when k % 14 = 0 then 101 else 0 end as state,
-  cast(null as string) as notification, case when k % 14 = 0 then '101' else cast(null as string) end
+  cast(null as string) as notification, case when k % 14 = 0 or k % 14 = 9 then '101' else cast(null as string) end
     as cancel_reason
 from $ev where event_type = 'purchase' and event_id % 2 = 1
 """

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import suppress
+from functools import cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,13 +43,26 @@ def read_table(
     return df
 
 
+@cache
+def _local_folder() -> str:
+    """A temporary folder of this process, removed when it ends."""
+    path = tempfile.mkdtemp(prefix="installarc-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def work_dir(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
+    """A new folder under the shared folder: ``spark.checkpoint.dir``, or that of ``setCheckpointDir``.
 
-    A local temporary folder is used only in a session that names none, as in tests.
+    Without one a temporary folder serves where driver and executors are one process. On a
+    cluster executors would write to their own disks, so there it is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="installarc-")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local_folder()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -58,16 +75,38 @@ class Staging:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.root, self.count = spark, work_dir(spark), 0
+        _RUNS.append(self)
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{self.count}"
-        self.count += 1
+        path = self.folder()
         df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def folder(self) -> str:
+        """A path of its own for one more table of the run."""
+        self.count += 1
+        return f"{self.root}/{self.count}"
 
     def drop(self) -> None:
         files, root = _file_system(self.spark, self.root)
         files.delete(root, True)
+        if self in _RUNS:
+            _RUNS.remove(self)
+
+
+_RUNS: list[Staging] = []
+
+
+def drop_staged() -> None:
+    """Removes the tables of all runs so far; call it when no result of theirs is needed any more."""
+    for run in list(_RUNS):
+        run.drop()
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    with suppress(Exception):  # a session that has ended can't reach its files any more
+        drop_staged()
 
 
 def as_is(df: DataFrame) -> DataFrame:
@@ -94,8 +133,14 @@ def write_full(df: DataFrame, path: str, day: str, order: Sequence[str]) -> None
     _ordered(monthly, order).write.mode("overwrite").partitionBy("month").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, column: str, order: Sequence[str]) -> set:
-    """Replace exactly the partitions that occur in ``df``; returns their values."""
+def replace_partitions(
+    df: DataFrame, path: str, column: str, order: Sequence[str], owned: Callable[[str], bool] = lambda value: False
+) -> set:
+    """Replace the partitions that occur in ``df``; returns their values.
+
+    Partitions without new rows whose value the run has ``owned`` are removed, as they
+    would be by a delete and insert.
+    """
     seen = Observation()
     watched = _ordered(df, order).observe(seen, F.collect_set(column).alias("values"))
     (
@@ -104,23 +149,50 @@ def replace_partitions(df: DataFrame, path: str, column: str, order: Sequence[st
         .partitionBy(column)
         .parquet(path)
     )
-    return set(seen.get["values"] or [])
+    written = set(seen.get["values"] or [])
+    kept = {str(value) for value in written}
+    files, root = _file_system(df.sparkSession, path)
+    for status in files.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(f"{column}="):
+            value = name.split("=", 1)[1]
+            if value not in kept and owned(value):
+                files.delete(status.getPath(), True)
+    return written
+
+
+def upsert_rows(
+    df: DataFrame,
+    path: str,
+    column: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    stage: Staging,
+    gone: DataFrame | None = None,
+) -> None:
+    """Delete and insert by key: rows of ``df`` replace those of their key, keys in ``gone`` disappear.
+
+    Only partitions in which such keys lie are read and written. The new state of these is staged first,
+    so a failed run leaves the table as it was until the swap.
+    """
+    new = stage(df)
+    changed = new.select(*keys)
+    if gone is not None:
+        changed = changed.unionByName(gone.select(*keys))
+    changed = stage(changed.distinct())
+    touched = [row[0] for row in changed.select(column).distinct().collect()]
+    old = df.sparkSession.read.parquet(path).filter(F.col(column).isin(touched)).select(*df.columns)
+    kept = old.join(changed, list(keys), "left_anti")
+    names = {str(value) for value in touched}
+    replace_partitions(stage(kept.unionByName(new)), path, column, order, lambda value: value in names)
 
 
 def replace_days(df: DataFrame, path: str, day: str, window: RunWindow, order: Sequence[str]) -> None:
     """Rebuild the days of a run window in a table partitioned by ``day``.
 
     Days with new rows are swapped in by the write itself. Days of the window that no
-    longer have any row are removed afterwards, as they would be by a delete and insert.
+    longer have any row are removed afterwards.
     """
-    written = replace_partitions(df, path, day, order)
-    files, root = _file_system(df.sparkSession, path)
-    kept = {d.isoformat() for d in written}
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if not name.startswith(f"{day}="):
-            continue
-        value = name.split("=", 1)[1]
-        first = window.first_day.isoformat() if window.first_day else ""
-        if first <= value <= window.last_day.isoformat() and value not in kept:
-            files.delete(status.getPath(), True)
+    first = window.first_day.isoformat() if window.first_day else ""
+    last = window.last_day.isoformat()
+    replace_partitions(df, path, day, order, lambda value: first <= value <= last)

@@ -105,22 +105,6 @@ def test_raw_feeds_get_their_trusted_time(spark, tmp_path):
     assert tables.read_table(spark, path).columns == ["version", "timestamp"]
 
 
-def test_work_dir_prefers_the_shared_folder(spark, tmp_path):
-    class Conf:
-        def get(self, key, default=None):
-            return {"spark.checkpoint.dir": str(tmp_path)}.get(key, default)
-
-    class Session:
-        conf = Conf()
-
-    assert tables.work_dir(Session()).startswith(f"{tmp_path}/")
-    stage = tables.Staging(spark)
-    stage.root = f"{tmp_path}/run"
-    assert stage(spark.range(5)).count() == 5
-    stage.drop()
-    assert list(tmp_path.iterdir()) == []
-
-
 PLANNED = ["asof_join", "lifetime_activity_daily", "payers", "cohort_wide", "monetization_curves", "revenue_by_source", "inapp_fact"]
 
 
