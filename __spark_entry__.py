@@ -134,6 +134,7 @@ class Inputs:
             self.stored("lifetimes"),
             window,
             CONFIG,
+            self.stage,
         )
 
     def long(self) -> DataFrame:

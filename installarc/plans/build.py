@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from installarc.functions.dims import COHORT_KEY
 from installarc.plans import cohorts
 from installarc.settings import MartConfig, RunWindow
-from installarc.sources.tables import replace_days, replace_partitions, write_full
+from installarc.sources.tables import Staging, replace_days, replace_partitions, write_full
 
 DAILY_ORDER = ["event_date", "application", "client_id", "user_lifetime_id"]
 LONG_ORDER = ["event_date", *COHORT_KEY]
@@ -28,6 +28,8 @@ def build_marts(
         for name in ("cohort_users", "daily", "cohort_long", "utn", "payers", "cohort_wide", "curves")
     }
 
+    stage = Staging(spark)
+
     def read(name: str) -> DataFrame:
         return spark.read.parquet(paths[name])
 
@@ -43,6 +45,7 @@ def build_marts(
         inputs["lifetimes"],
         window,
         config,
+        stage,
     )
     replace_days(daily, paths["daily"], "event_date", window, DAILY_ORDER)
     long = cohorts.cohort_long(read("cohort_users"), inputs["costs"], read("daily"), config)
@@ -55,4 +58,5 @@ def build_marts(
     replace_partitions(wide, paths["cohort_wide"], "cohort_date", list(COHORT_KEY), owned=lambda value: True)
     curves = cohorts.monetization_curves(read("cohort_long"), config)
     write_full(curves, paths["curves"], "cohort_date", [*COHORT_KEY, "cohort_day"])
+    stage.drop()
     return paths

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from installarc.functions.money import (
 from installarc.operators.shape import UNLIMITED, bucket_labels, dense_days, padded_union
 from installarc.operators.timeline import interval_join
 from installarc.settings import MartConfig, RunWindow, from_day, stamped
+from installarc.sources.tables import as_is
 
 CLIENT = ["application", "client_id"]
 DEVICE_DIMS = ("install_device_name", "install_device_type")
@@ -201,19 +204,27 @@ def lifetime_activity_daily(
     lifetimes: DataFrame,
     window: RunWindow,
     config: MartConfig,
+    stage: Callable[[DataFrame], DataFrame] = as_is,
 ) -> DataFrame:
-    """Sessions, purchases, subscriptions and ad revenue per lifetime and UTC day."""
+    """Sessions, purchases, subscriptions and ad revenue per lifetime and UTC day.
+
+    Matching reads its rows and its lifetimes more than once. The stacked rows are staged for that, and in a partial
+    run, where the lifetimes come from a semi join with these rows, so are the lifetimes.
+    """
     timed = [
         activity_rows(activity, window, config),
         inapp_rows(inapp, window, config),
         subscription_rows(subscription, window, config),
     ]
     dated = ad_rows(ad_daily, window, config)
-    clients = window_clients([*timed, dated]) if window.first_day is not None else None
-    users = window_lifetimes(lifetimes, clients, window, config)
+    stacked = stage(padded_union(timed))
+    if window.first_day is None:
+        users = window_lifetimes(lifetimes, None, window, config)
+    else:
+        users = stage(window_lifetimes(lifetimes, window_clients([stacked, dated]), window, config))
 
     owned = padded_union(
-        [match_by_time(padded_union(timed), users), match_by_day(dated, users, ["install_time"], "install_time")]
+        [match_by_time(stacked, users), match_by_day(dated, users, ["install_time"], "install_time")]
     )
     counts = (*metrics.SESSION_COUNTS, *metrics.PURCHASE_COUNTS, *metrics.AD_COUNTS)
     daily = owned.groupBy("event_date", *CLIENT, "install_time").agg(
