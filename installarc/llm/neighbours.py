@@ -47,9 +47,13 @@ class Codes:
         return out / np.sqrt(self.width) / self.fit
 
 
-def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Cosine in double precision on the vectors as they are."""
-    return (rows * query).sum(axis=1) / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
+def lengths(rows: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.add.accumulate(rows * rows, axis=1)[:, -1])
+
+
+def cosines(query: np.ndarray, rows: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Cosine in double precision on the vectors as they are, summed from the first component to the last."""
+    return np.add.accumulate(rows * query, axis=1)[:, -1] / (length * lengths(query[None])[0])
 
 
 def nearest_in_block(queries: np.ndarray, rows: np.ndarray, k: int, deviations: float) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -60,7 +64,7 @@ def nearest_in_block(queries: np.ndarray, rows: np.ndarray, k: int, deviations:
     """
     turn = rotation(rows.shape[1])
     codes = Codes(rows / np.linalg.norm(rows, axis=1, keepdims=True), turn)
-    slack = deviations * codes.spread
+    slack, length = deviations * codes.spread, lengths(rows)
     out = []
     for at in range(0, len(queries), 64):
         some = queries[at : at + 64]
@@ -69,7 +73,7 @@ def nearest_in_block(queries: np.ndarray, rows: np.ndarray, k: int, deviations:
             low = near - slack
             floor = np.partition(low, -k)[-k] if len(low) > k else -np.inf
             chosen = np.flatnonzero(near + slack >= floor)
-            exact = cosines(query, rows[chosen])
+            exact = cosines(query, rows[chosen], length[chosen])
             last = np.partition(exact, -k)[-k] if len(exact) > k else -np.inf
             keep = exact >= last
             out.append((chosen[keep], exact[keep]))

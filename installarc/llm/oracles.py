@@ -168,10 +168,25 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id
 from docs left join sizes using (doc_id) join least using (doc_id)
 """
 
+NEAREST = """
+with usable as (
+  select vec_id, embedding::double[] as v from embeddings
+  where vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs as (
+  select q.vec_id as query_id, c.vec_id,
+    list_dot_product(q.v, c.v) / (sqrt(list_dot_product(c.v, c.v)) * sqrt(list_dot_product(q.v, q.v))) as score
+  from usable q join usable c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from pairs qualify rank <= 5
+"""
+
 ORACLES = {
     "op2_chat_perspectives": CHAT,
     "op3_decontaminate": DECONTAMINATION,
     "op6_host_reputation": REPUTATION,
     "op7_dedup_lines": LINES,
     "op8_near_duplicates": NEAR,
+    "op10_nearest": NEAREST,
 }
