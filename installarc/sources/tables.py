@@ -66,11 +66,15 @@ def work_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+# Spark's own setting: a finished write drops its shuffle files at once instead of when the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Staging:
     """Intermediate tables of one run, written to the shared work folder.
 
     A result that several later steps read is computed once, and a lost executor costs
-    the step at hand only. ``drop`` removes the tables after the run.
+    the step at hand only. What a step has shuffled goes when it is written. ``drop`` removes the tables after the run.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -78,8 +82,13 @@ class Staging:
         _RUNS.append(self)
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        path = self.folder()
-        df.write.parquet(path)
+        path, conf = self.folder(), self.spark.conf
+        before = conf.get(SHUFFLE_CLEANUP, "false")
+        conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.set(SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def folder(self) -> str:
