@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import re
 from collections.abc import Iterator
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +24,7 @@ LOW = 5
 
 BLOCK = "uid long, docs array<{id}>, learns array<boolean>, lengths array<int>, ids binary, bucket int, words binary, counts binary"
 WORDS = "uid long, bucket int, numbers binary, counts binary, types long, tokens long, ones array<long>"
-ASKED = "uid long, bucket int, histories binary, words binary, counts binary, probabilities binary"
+ASKED = "uid long, bucket int, histories binary, words binary, counts binary, known binary"
 PAIRS = (
     "uid long, bucket int, counts binary, stats binary, ones array<long>, history long, partial array<double>, needs array<long>"
 )
@@ -35,7 +34,7 @@ SCORES = "doc {id}, learns boolean, n_tokens long, n_known long, base_score doub
 def pack(a: np.ndarray) -> bytes:
     """Compressed numbers, like bytes side by side."""
     planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=5).compress(planes.tobytes())
 
 
 def unpack(b: bytes, kind: type) -> np.ndarray:
@@ -230,7 +229,8 @@ class Block:
         self.place[asked] = back[at]
         self.hid, self.wid, self.total, self.home = (x[order] for x in (self.hid, self.wid, self.total, home))
         self.learnt = learnt[order]
-        self.pair_p = np.where(self.wid >= 0, self.p[np.maximum(w[order], 0)], unigrams.unknown)
+        self.pair_known = np.where(self.wid >= 0, count[np.maximum(w[order], 0)], 0)
+        self.pair_p = unigrams(self.pair_known)
         edge = np.flatnonzero(np.diff(self.home, prepend=-1))
         self.parts = list(zip(edge, np.append(edge[1:], len(self.home)), strict=True)) if len(edge) else []
 
@@ -242,7 +242,7 @@ class Block:
                 "histories": pack_sorted(self.hid[a:b]),
                 "words": pack_sorted(self.wid[a:b]),
                 "counts": pack(self.learnt[a:b]),
-                "probabilities": pack(self.pair_p[a:b]),
+                "known": pack(self.pair_known[a:b]),
             }
             for a, b in self.parts
         ]
@@ -260,7 +260,7 @@ class Block:
         for (a, b), answer in zip(self.parts, answers, strict=True):
             own, at = np.unique(self.hid[a:b], return_inverse=True)
             if answer["bucket"] < buckets:
-                table = unpack(answer["stats"], np.float64).reshape(-1, LOW + 2)
+                table = unpack(answer["stats"], np.float64).reshape(LOW + 2, -1).T
             else:
                 table = np.array([hot[h] for h in own.tolist()])
             stats[a:b] = table[at]
@@ -272,7 +272,7 @@ class Block:
         return np.log10(p)
 
 
-def _pair_table(asked: DataFrame, buckets: int) -> DataFrame:
+def _pair_table(asked: DataFrame, unigrams: Unigrams, buckets: int) -> DataFrame:
     """Counts of all pairs by bucket, handed back to every block, with the sums over each history's followers.
 
     Buckets from ``buckets`` on hold pairs of hot histories, whose followers are in several of them: rows with
@@ -286,7 +286,7 @@ def _pair_table(asked: DataFrame, buckets: int) -> DataFrame:
         sizes = [len(h) for h in parts]
         h, w = np.concatenate(parts), np.concatenate([unpack_sorted(r["words"], np.int64) for r in asked])
         own = np.concatenate([unpack(r["counts"], np.int64) for r in asked])
-        p = np.concatenate([unpack(r["probabilities"], np.float64) for r in asked])
+        p = unigrams(np.concatenate([unpack(r["known"], np.int64) for r in asked]))
         order = np.lexsort((w, h))
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)
@@ -308,7 +308,7 @@ def _pair_table(asked: DataFrame, buckets: int) -> DataFrame:
             mine, start = group[start : start + n], start + n
             used = np.unique(of[mine])
             answer = {"uid": r["uid"], "bucket": bucket, "counts": pack(total[mine])}
-            hot = {"needs": histories[used].tolist()} if bucket >= buckets else {"stats": pack(stats[used].ravel())}
+            hot = {"needs": histories[used].tolist()} if bucket >= buckets else {"stats": pack(stats[used].T.ravel())}
             out.append(answer | hot)
         return _table(out, PAIRS)
 
@@ -320,18 +320,12 @@ def _ones(table: DataFrame) -> np.ndarray:
     return np.array(row, np.float64)
 
 
-def _free_shuffles(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of steps that are written to the shared folder by now."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def katz_scores(
     docs: DataFrame,
     learns: Column,
     doc_id: str = "doc_id",
     text: str = "text",
-    block_bytes: int = 12 << 20,
+    block_bytes: int = 8 << 20,
     bucket_words: int = 16 << 20,
     bucket_pairs: int = 1_000_000,
 ) -> DataFrame:
@@ -352,7 +346,7 @@ def katz_scores(
     NULL and empty texts are the end alone. Repeated rows are scored and learnt from one by one. If nothing is learnt, every
     token is unknown. An empty table gives an empty result. Other columns are ignored.
     """
-    spark, stage = docs.sparkSession, stage_for(docs)
+    stage = stage_for(docs)
     body = docs.select(
         F.col(doc_id).alias("doc"), F.coalesce(learns, F.lit(False)).alias("learns"), F.col(text).cast("binary").alias("body")
     )
@@ -360,7 +354,6 @@ def katz_scores(
     word_buckets = groups_of(total or 0, bucket_words)
     read = stage(_read(body, word_buckets, block_bytes))
     words = stage(_word_table(read, word_buckets))
-    _free_shuffles(spark)
     row = words.agg(F.sum("types"), F.sum("tokens")).first()
     types, tokens = row[0] or 0, row[1] or 0
     unigrams = Unigrams(tokens, _ones(words))
@@ -373,8 +366,7 @@ def katz_scores(
         return _table(Block(rows, unigrams, starts or 0, buckets, hot).requests(), ASKED)
 
     both = heads.drop("docs").unionByName(numbers, allowMissingColumns=True)
-    pairs = stage(_pair_table(both.groupBy("uid").applyInArrow(ask, ASKED), buckets))
-    _free_shuffles(spark)
+    pairs = stage(_pair_table(both.groupBy("uid").applyInArrow(ask, ASKED), unigrams, buckets))
     d = discounts(_ones(pairs))
     hot_sums = (
         pairs.filter(F.col("history").isNotNull())
