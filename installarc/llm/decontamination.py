@@ -36,7 +36,7 @@ def build_index(
     text: str = "text",
     vocabulary: DataFrame | None = None,
     vocabulary_limit: int = 200_000,
-    block_bytes: int = 8 << 20,
+    block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """The index, written to the shared folder: rows of documents and rows of postings.
 

@@ -260,7 +260,7 @@ def near_duplicates(
     text: str = "text",
     slack: float = 0.2,
     piece_nodes: int = 1_000,
-    piece_shingles: int = 1_000_000,
+    piece_shingles: int = 500_000,
 ) -> DataFrame:
     """One row per document: ``doc``, ``key``, ``n_shingles``, ``component``, ``component_id`` and ``kept``.
 

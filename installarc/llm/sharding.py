@@ -47,7 +47,7 @@ def stable_key(doc_id: Column, other: Column) -> Column:
     return F.when(doc_id.isNull(), F.xxhash64(F.lit("no id"), other)).otherwise(F.xxhash64(doc_id.cast("string")))
 
 
-def shard(docs: DataFrame, shards: int, doc_id: str = "doc_id", spare: str = "text", rows: int = 50_000) -> DataFrame:
+def shard(docs: DataFrame, shards: int, doc_id: str = "doc_id", spare: str = "text", rows: int = 5_000) -> DataFrame:
     """Adds ``shard``, ``slot`` and ``grown_shard`` (the shard if there were one more).
 
     The id and the number of shards alone decide, no ring or table is kept, and a row of
