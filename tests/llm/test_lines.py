@@ -40,3 +40,34 @@ def test_odd_rows(spark):
     named = spark.createDataFrame([("a", long), ("b", long)], "doc_id string, text string")
     assert {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(named).collect()} == {"a": 0, "b": 1}
     assert lines.dedup_lines(docs.limit(0)).count() == 0
+
+
+def equal_runs(rows, least):
+    """Runs by equal lines alone: each earlier equal line is followed as far as the lines stay equal."""
+    docs = [((text or "").split("\n"), doc) for doc, text in sorted(rows)]
+    places, out = {}, {}
+    for d, (parts, doc) in enumerate(docs):
+        gone = set()
+        for i, line in enumerate(parts):
+            for e, j in places.get(line, ()):
+                earlier, k = docs[e][0], 0
+                while i + k < len(parts) and j + k < len(earlier) and parts[i + k] == earlier[j + k]:
+                    k += 1
+                if sum(len(x.encode().split()) for x in parts[i : i + k]) >= least:
+                    gone |= set(range(i, i + k))
+            places.setdefault(line, []).append((d, i))
+        out[doc] = sorted(gone)
+    return out
+
+
+def test_whole_runs_equal_runs_of_equal_lines(spark, small):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    long, short = (" ".join(f"{w}{i}" for i in range(n)) for w, n in (("l", 40), ("s", 20)))
+    rows += [(1000, f"a\n{long}\n{short}\n\nb"), (1001, f"c\n\n{long}\n{short}\n\nd"), (1002, f"{short}\n{long}"), (1003, f"{short}\n{long}\ne")]
+    rows += [(1004, f"{long}\ntail"), (1005, f"{long}\ntail"), (1006, "\n".join(["x y z"] * 30)), (1007, ""), (1008, f"{short}\nend")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for least in (25, 6):
+        got = {r["doc_id"]: r["removed"] for r in lines.dedup_lines(docs, least, whole_runs=True).collect()}
+        assert got == equal_runs(rows, least)
+        if least == 25:
+            assert got[1001] == [2, 3, 4] and got[1005] == [0, 1] and got[1008] == []
