@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,6 +14,9 @@ from installarc.llm.common import lower_ascii, stage_for
 #: Common public suffixes of two labels; any other last label is a suffix by itself.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in", "co.za", "com.cn")
 
+#: Fixed value: trial values of the likeness in a row.
+TRIALS = 33
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -69,19 +73,49 @@ def public_suffix(host: Column) -> Column:
     return F.when(host.rlike("^[0-9.]*$"), F.lit("")).otherwise(last)
 
 
+def _log_gamma(x: Column) -> Column:
+    """For x > 0, by Stirling's series at x + 8; within 1e-9 besides rounding."""
+    y, below = x + 8, x
+    for k in range(1, 8):
+        below = below * (x + k)
+    series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(below)
+
+
+def _likeness(groups: DataFrame, prior: Prior) -> float:
+    """The correlation of outcomes within groups under which the counts of all groups are likeliest.
+
+    Beta-binomial likelihood, summed over the groups for a row of trial values at once, then for a finer row around
+    the best one. However many outcomes a group has, it adds about the logarithm of their number at most for
+    agreeing with its parent, so one large group can't settle the value for all.
+    """
+    told = groups.filter((F.col("n") > 1) & F.col("parent_mean").between(1e-12, 1 - 1e-12))
+    told = told.groupBy("n", "bad", "parent_mean").agg(F.count(F.lit(1)).alias("times"))
+    (low, high), best = prior.likeness, None
+    for _ in range(2):
+        trials = [low * (high / low) ** (k / (TRIALS - 1)) for k in range(TRIALS)]
+        tried = told.withColumn("trial", F.explode(F.array(*[F.lit(k) for k in range(TRIALS)])))
+        weight = 1 / F.element_at(F.array(*[F.lit(x) for x in trials]), F.col("trial") + 1) - 1
+        tried = tried.withColumn("w", weight).withColumn("a", F.col("w") * F.col("parent_mean"))
+        a, w, n, bad = (F.col(c) for c in ("a", "w", "n", "bad"))
+        ups = [(bad + a, 1), (a, -1), (n - bad + w - a, 1), (w - a, -1), (n + w, -1), (w, 1)]
+        log_likelihood = sum((_log_gamma(x) * sign for x, sign in ups), F.lit(0.0))
+        rows = tried.groupBy("trial").agg(F.sum(log_likelihood * F.col("times")).alias("log")).collect()
+        if not rows:
+            return prior.likeness_unknown
+        at = max(rows, key=lambda r: (round(r["log"], 6), -r["trial"]))["trial"]
+        best, low, high = trials[at], trials[max(at - 1, 0)], trials[min(at + 1, TRIALS - 1)]
+    return best
+
+
 def _shrunk(groups: DataFrame, prior: Prior) -> DataFrame:
     """Posterior of each group's bad share under a beta prior around its parent's mean.
 
-    In: ``n``, ``bad``, ``parent_mean``. The prior's weight fits the spread of all groups of the
-    level by moments: outcomes as alike within groups as the counts show. Adds ``mean`` and ``sd``.
+    In: ``n``, ``bad``, ``parent_mean``. The prior's weight fits all groups of the level: outcomes as alike within
+    groups as the counts show. Adds ``mean`` and ``sd``.
     """
     n, bad, m = F.col("n"), F.col("bad"), F.col("parent_mean")
-    row = groups.agg(
-        F.sum(F.pow(bad - n * m, F.lit(2)) - n * m * (1 - m)).alias("excess"),
-        F.sum(n * (n - 1) * m * (1 - m)).alias("pairs"),
-    ).first()
-    low, high = prior.likeness
-    alike = min(max(row["excess"] / row["pairs"], low), high) if row["pairs"] else prior.likeness_unknown
+    alike = _likeness(groups, prior)
     weight = 1.0 / alike - 1.0
     mean = (F.lit(weight) * m + bad) / (F.lit(weight) + n)
     return groups.withColumn("mean", mean).withColumn(

@@ -1,3 +1,6 @@
+import math
+import random
+
 from installarc.llm import reputation
 from installarc.llm.queries import RULES
 
@@ -56,3 +59,30 @@ def test_empty_and_repeated(spark):
     got = reputation.judge(pages, labels, ())
     assert got.count() == 2 and got.columns == ["page_id", "url", "host", "path", "rule", "verdict", "basis", "bad_low"]
     assert reputation.judge(pages.limit(0), labels.limit(0), RULES).count() == 0
+
+
+def test_hot_host_leaves_the_evidence_of_others(spark):
+    drawn = random.Random(1)
+    rows = [(f"h{i}.org", 100, sum(drawn.random() < 0.1 for _ in range(100))) for i in range(6000)]
+    rows += [("bad.org", 500, 500), ("hot.org", 300_000, 30_000)]
+    hosts, low = spark.createDataFrame(rows, "host string, n long, bad long"), []
+    for some in (hosts.filter("host <> 'hot.org'"), hosts):
+        got = {r["host"]: r["low"] for r in reputation.host_reputation(some).collect()}
+        low.append(got.pop("bad.org"))
+        assert low[-1] > 0.5 and max(got.values()) < 0.3
+    assert abs(low[0] - low[1]) < 0.05
+
+
+def test_likeness_is_the_likeliest(spark):
+    counts = [(10, 9, 0.3), (12, 1, 0.3), (40, 3, 0.2), (7, 6, 0.4), (1, 1, 0.3), (200, 90, 0.3)]
+
+    def log_likelihood(alike):
+        w, g = 1 / alike - 1, math.lgamma
+        return sum(
+            g(b + w * m) - g(w * m) + g(n - b + w - w * m) - g(w - w * m) - g(n + w) + g(w) for n, b, m in counts
+        )
+
+    groups = spark.createDataFrame(counts, "n long, bad long, parent_mean double")
+    best = max((k / 10000 for k in range(1, 5000)), key=log_likelihood)
+    assert abs(reputation._likeness(groups, reputation.Prior()) / best - 1) < 0.02
+    assert reputation._likeness(groups.filter("n = 1"), reputation.Prior()) == 0.1
