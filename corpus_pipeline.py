@@ -13,8 +13,15 @@ SHARDS = 24
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: those without letters, or between two languages, go."""
-    told = language.predict(docs, language.train(docs))
+    """Documents whose language can be told: those without letters, or between two languages, go.
+
+    Where no document has both a language and a letter, nothing can be learnt, and only those without letters go.
+    """
+    lettered = docs.filter(F.col("text").rlike("\\p{L}"))
+    model = language.train(lettered)
+    if not model.languages:
+        return lettered
+    told = language.predict(docs, model)
     return told.filter(~F.col("ambiguous")).select(*docs.columns)
 
 
