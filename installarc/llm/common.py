@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from installarc.sources.tables import Staging
@@ -46,3 +46,28 @@ def with_keys(docs: DataFrame, keys: DataFrame, how: str, doc_id: str = "doc_id"
     kind = keys.schema["key"].dataType
     keyed = docs.withColumn("_content_key", content_key(F.col(doc_id), F.col(text)).cast(kind))
     return keyed.join(keys.withColumnRenamed("key", "_content_key"), "_content_key", how)
+
+
+def numbered(df: DataFrame, group: str, order: list[str], stage: Staging, place: str = "place") -> DataFrame:
+    """Adds ``place``, a row's number from 0 among those of its ``group`` in the order of ``order``.
+
+    Rows are range-placed and sorted once, so no group is ever one task's: what stands before a group's rows in a
+    range is added from the counts of the earlier ranges. Rows equal in all of ``order`` are spread as well, in no
+    stated order. ``group`` isn't NULL. The input is read twice, so let it be a stored table.
+    """
+    keys = [group, *order]
+    laid = stage(
+        df.withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(*keys, "_row")
+        .sortWithinPartitions(*keys, "_row")
+        .select(*df.columns, F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_at"))
+    )
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        laid.groupBy(group, "_range")
+        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .select(group, "_range", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    )
+    return laid.join(starts, [group, "_range"]).select(
+        *df.columns, (F.col("_before") + F.col("_at") - F.col("_first")).alias(place)
+    )

@@ -182,6 +182,70 @@ select query_id, row_number() over (partition by query_id order by score desc, v
 from pairs qualify rank <= 5
 """
 
+def crc32_of(ascii: str) -> str:
+    """CRC-32 of an expression of ASCII text, bit by bit with the reversed polynomial 0xEDB88320."""
+    byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::bigint[], lambda x, z: xor(x >> 1, 3988292384::bigint * (x & 1)))"
+    codes = f"list_transform(string_split({ascii}, ''), lambda x: ord(x)::bigint)"
+    return f"xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: {byte}))"
+
+
+MERKLE_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def merkle_leaf(fields: tuple[str, ...]) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')" for c in fields) + ")"
+
+
+MERKLE = f"""
+with recursive leaves as (
+  select doc_id, coalesce('1' || source, '0') as tree, {merkle_leaf(MERKLE_FIELDS)} as leaf,
+    {merkle_leaf((*MERKLE_FIELDS[:-1], "lost"))} as found
+  from (select *, case when doc_id is not null and crc % 2 = 0 then replace(text, chr(10), '') else text end as lost
+    from (select *, {crc32_of("coalesce(doc_id::varchar, '0')")} as crc from documents))
+), placed as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by tree) as n from leaves
+), nodes as (
+  select tree, 0 as lvl, idx, leaf as hash, n from placed
+  union all
+  select tree, lvl + 1, idx // 3, sha256(string_agg(hash, '' order by idx)), any_value((n + 2) // 3) from nodes where n > 1 group by tree, lvl, idx // 3
+), tops as (
+  select tree, lvl as height, hash, row_number() over (order by tree) - 1 as idx, count(*) over () as n from nodes where n = 1
+), crown as (
+  select 0 as lvl, idx, hash, n from tops
+  union all
+  select lvl + 1, idx // 3, sha256(string_agg(hash, '' order by idx)), any_value((n + 2) // 3) from crown where n > 1 group by lvl, idx // 3
+), steps as (
+  select t.tree, p.idx as leaf_idx, l.lvl, l.tree as of, l.idx, l.idx // 3 as run
+  from placed p join tops t using (tree) join nodes l on l.tree = p.tree and l.n > 1 and l.idx = p.idx // (3 ** l.lvl)::bigint
+  union all
+  select t.tree, p.idx, t.height + c.lvl, null, c.idx, c.idx // 3
+  from placed p join tops t using (tree) join crown c on c.n > 1 and c.idx = t.idx // (3 ** c.lvl)::bigint
+), runs as (
+  select tree as of, lvl, idx // 3 as run, idx, hash from nodes where n > 1
+), crown_runs as (
+  select lvl, idx // 3 as run, idx, hash from crown where n > 1
+), sides as (
+  select s.tree, s.leaf_idx, s.lvl, coalesce(string_agg(r.hash, '' order by r.idx) filter (where r.idx < s.idx), '') as l,
+    coalesce(string_agg(r.hash, '' order by r.idx) filter (where r.idx > s.idx), '') as r
+  from steps s join runs r on s.of = r.of and s.lvl = r.lvl and s.run = r.run group by all
+  union all
+  select s.tree, s.leaf_idx, s.lvl, coalesce(string_agg(r.hash, '' order by r.idx) filter (where r.idx < s.idx), ''),
+    coalesce(string_agg(r.hash, '' order by r.idx) filter (where r.idx > s.idx), '')
+  from steps s join tops t on t.tree = s.tree join crown_runs r on s.of is null and s.lvl - t.height = r.lvl and s.run = r.run group by all
+), walk as (
+  select tree, idx as leaf_idx, 0 as lvl, found as hash from placed
+  union all
+  select w.tree, w.leaf_idx, w.lvl + 1, sha256(s.l || w.hash || s.r) from walk w join sides s using (tree, leaf_idx, lvl)
+), ends as (
+  select tree, leaf_idx, arg_max(hash, lvl) as folded_root from walk group by all
+), proofs as (
+  select tree, leaf_idx, string_agg(l || r, '' order by lvl) as proof from sides group by all
+)
+select doc_id, leaf, t.hash as subroot, c.hash as root, sha256(coalesce(proof, '')) as proof_sha256, folded_root, folded_root = c.hash as verified
+from placed p join tops t using (tree) join crown c on c.n = 1 join ends e on e.tree = p.tree and e.leaf_idx = p.idx
+left join proofs f on f.tree = p.tree and f.leaf_idx = p.idx
+"""
+
 ORACLES = {
     "op2_chat_perspectives": CHAT,
     "op3_decontaminate": DECONTAMINATION,
@@ -189,4 +253,5 @@ ORACLES = {
     "op7_dedup_lines": LINES,
     "op8_near_duplicates": NEAR,
     "op10_nearest": NEAREST,
+    "op12_merkle_manifest": MERKLE,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from installarc.llm import chat, decontamination, katz, language, lines, mixing, neardup, neighbours, reputation, sharding
+from installarc.llm import chat, decontamination, katz, language, lines, merkle, mixing, neardup, neighbours, reputation, sharding
 from installarc.llm.oracles import ORACLES as ORACLES
 from installarc.llm.common import WORD, crc_remainder
 
@@ -114,6 +114,16 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and whether its text of a later reading, which lost line feeds, still leads to the root."""
+    lost = F.when(crc_remainder(F.col("doc_id"), 2) == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), found={"text": lost})
+    back = merkle.folded(F.col("path"), F.col("found_leaf"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(merkle.proof(F.col("path"))).alias("proof_sha256"), back.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op7_dedup_whole_runs, op8_near_duplicates, op9_shard, op10_nearest)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op7_dedup_whole_runs, op8_near_duplicates, op9_shard, op10_nearest, op12_merkle_manifest)
 }
