@@ -246,6 +246,77 @@ from placed p join tops t using (tree) join crown c on c.n = 1 join ends e on e.
 left join proofs f on f.tree = p.tree and f.leaf_idx = p.idx
 """
 
+def repair_moves() -> str:
+    """(state, kind of the row or NULL for any, whether it must go, letters, cost, state after) of inserts and a row's edit."""
+    follow = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("a", "u"): "u", ("u", "a"): "a"}
+    rows = []
+    for state in ("", "s", "u", "a"):
+        now = state
+        for inserts in range(3):
+            turn = "a" if now == "u" else "u"
+            before, cost = "I" * inserts, 3 * inserts
+            rows.append(f"('{state}', null, null, '{before}D', {cost + 4}, '{now}')")
+            rows.append(f"('{state}', null, false, '{before}R', {cost + 3}, '{turn}')")
+            rows += [f"('{state}', '{kind}', false, '{before}K', {cost}, '{to}')" for (at, kind), to in follow.items() if at == now]
+            now = turn
+    return ", ".join(rows)
+
+
+BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+REPAIR = f"""
+with recursive fated as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {crc32_of("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as fate from conversations
+), damaged as (
+  select conv_id, turn, case when fate = 4 then 'user' else role end as role,
+    case fate when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+    unnest(case when fate = 3 then [1, 2] else [1] end) as copy
+  from fated where fate <> 0
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(strlen(role) || ':' || role || text), copy) - 1 as i,
+    rtrim(text, {BLANK_CHARS}) as kept from damaged
+), judged as (
+  select *, case when kept = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+    when right(kept, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+    lead(substr(role, 1, 1)) over (partition by conv_id order by i) as follower from placed
+), counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+    count(*) filter (where fault = 'truncated') as truncated,
+    count(*) filter (where follower is not null and substr(role, 1, 1) || follower not in ('su', 'ua', 'au')) as illegal, count(*) as n
+  from judged group by conv_id
+), moves(state, kind, gone, letters, cost, after) as (values {repair_moves()}
+), best as (
+  select conv_id, 0::bigint as i, '' as state, '000000' as found from counts
+  union all
+  select b.conv_id, b.i + 1, m.after, min(printf('%06d', b.found[:6]::int + m.cost + case when fault = 'truncated' and m.letters not like '%D' then 3 else 0 end) || b.found[7:] || m.letters)
+  from best b join judged r on r.conv_id is not distinct from b.conv_id and r.i = b.i
+    join moves m on m.state = b.state and (m.kind is null or m.kind = substr(role, 1, 1)) and (m.gone is null or fault not in ('blank', 'duplicate'))
+  group by b.conv_id, b.i, m.after
+), ended as (
+  select c.conv_id, min(printf('%06d', found[:6]::int + case state when 'u' then 3 when 's' then 6 else 0 end) || found[7:] || case state when 'u' then 'I' when 's' then 'II' else '' end) as found
+  from best b join counts c on c.conv_id is not distinct from b.conv_id and c.n = b.i group by c.conv_id
+), letters as (
+  select conv_id, found[7:] as audit, unnest(range(1, len(found) - 5)) as p from ended
+), steps as (
+  select conv_id, p, audit[p] as letter, coalesce(len(replace(audit[:p - 1], 'I', '')), 0) as i,
+    coalesce(len(replace(audit[:p - 1], 'D', '')), 0) as o from letters
+), shaped as (
+  select s.*, r.role, r.text, max(case when letter = 'K' and substr(r.role, 1, 1) = 's' then 1 else 0 end) over (partition by s.conv_id) as led
+  from steps s left join judged r on r.conv_id is not distinct from s.conv_id and r.i = s.i and letter <> 'I'
+), repaired as (
+  select conv_id, sha256(string_agg(case when letter = 'K' then role when (o - led) % 2 = 0 then 'user' else 'assistant' end || ':' || coalesce(text, ''), chr(10) order by p)) as hash
+  from shaped where letter <> 'D' group by conv_id
+), asked as (
+  select distinct conv_id from conversations
+)
+select a.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(found[:6]::bigint, 0) as cost, coalesce(found[7:], '') as audit, coalesce(hash, sha256('')) as repaired_sha256
+from asked a left join counts c on c.conv_id is not distinct from a.conv_id left join ended e on e.conv_id is not distinct from a.conv_id
+left join repaired r on r.conv_id is not distinct from a.conv_id
+"""
+
 ORACLES = {
     "op2_chat_perspectives": CHAT,
     "op3_decontaminate": DECONTAMINATION,
@@ -254,4 +325,5 @@ ORACLES = {
     "op8_near_duplicates": NEAR,
     "op10_nearest": NEAREST,
     "op12_merkle_manifest": MERKLE,
+    "op13_repair_conversations": REPAIR,
 }

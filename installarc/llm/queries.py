@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from installarc.llm import chat, decontamination, katz, language, lines, merkle, mixing, neardup, neighbours, reputation, sharding
+from installarc.llm import chat, decontamination, katz, language, lines, merkle, mixing, neardup, neighbours, repair, reputation, sharding
 from installarc.llm.oracles import ORACLES as ORACLES
 from installarc.llm.common import WORD, crc_remainder
 
@@ -124,6 +124,37 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """``conversations`` with some rows dropped, emptied, cut, repeated or given to the user, by the hash of their place."""
+    spaced = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    fate = F.crc32(F.concat(spaced[0], F.lit(":"), spaced[1]).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", spaced[2].alias("role"), spaced[3].alias("text"), fate.alias("fate")).filter("fate <> 0")
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("fate") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    found = repair.repair(damaged(turns))
+    asked = turns.select("conv_id").distinct().withColumn("key", repair.conversation_key(F.col("conv_id")))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        asked.join(found.report.drop("conv_id"), "key", "left")
+        .join(repair.joined_hashes(found.edits), "key", "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op7_dedup_whole_runs, op8_near_duplicates, op9_shard, op10_nearest, op12_merkle_manifest)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op7_dedup_whole_runs, op8_near_duplicates, op9_shard, op10_nearest, op12_merkle_manifest, op13_repair_conversations)
 }
