@@ -189,6 +189,20 @@ def crc32_of(ascii: str) -> str:
     return f"xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: {byte}))"
 
 
+WARC = """
+with payloads as (
+  select page_id, url, coalesce(html, '') as payload from pages
+), judged as (
+  select page_id, strlen(payload) as payload_bytes, sha256(payload) as payload_digest,
+    row_number() over (partition by payload order by page_id nulls last, url nulls first) as nth,
+    first_value(page_id) over (partition by payload order by page_id nulls last, url nulls first) as first_id
+  from payloads
+)
+select page_id, payload_bytes, payload_digest, case when nth > 1 and payload_bytes >= 100 then 'revisit' else 'response' end as record_type,
+  case when nth > 1 and payload_bytes >= 100 then first_id end as refers_to
+from judged
+"""
+
 MERKLE_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -324,6 +338,7 @@ ORACLES = {
     "op7_dedup_lines": LINES,
     "op8_near_duplicates": NEAR,
     "op10_nearest": NEAREST,
+    "op11_warc_records": WARC,
     "op12_merkle_manifest": MERKLE,
     "op13_repair_conversations": REPAIR,
 }

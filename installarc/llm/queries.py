@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from installarc.llm import chat, decontamination, katz, language, lines, merkle, mixing, neardup, neighbours, repair, reputation, sharding
+from installarc.llm import chat, decontamination, katz, language, lines, merkle, mixing, neardup, neighbours, repair, reputation, sharding, warc
 from installarc.llm.oracles import ORACLES as ORACLES
 from installarc.llm.common import WORD, crc_remainder
+from installarc.sources.tables import Staging
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +115,20 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op11_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to archives, and what their records say when read back."""
+    pages, path = table(spark, sf_dir, "pages"), Staging(spark).folder()
+    warc.write(pages, path)
+    kind = pages.schema["page_id"].dataType
+    return warc.resolved(warc.read(spark, path).records).select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof, and whether its text of a later reading, which lost line feeds, still leads to the root."""
     lost = F.when(crc_remainder(F.col("doc_id"), 2) == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
@@ -156,5 +171,5 @@ def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op7_dedup_whole_runs, op8_near_duplicates, op9_shard, op10_nearest, op12_merkle_manifest, op13_repair_conversations)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op7_dedup_whole_runs, op8_near_duplicates, op9_shard, op10_nearest, op11_warc_records, op12_merkle_manifest, op13_repair_conversations)
 }
