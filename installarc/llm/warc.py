@@ -115,9 +115,10 @@ def parsed(rest: Column) -> dict[str, Column]:
     head = F.substring_index(rest, BREAK, 1)
     head_bytes = F.octet_length(head)
 
-    def field(name: str) -> Column:
-        found = F.regexp_extract(head, f"(?i)\\r\\n{name}:[ \\t]*([^\\r\\n]*)", 1)
-        return F.when(found != "", found)
+    def field(name: str, empty: bool = False) -> Column:
+        line = f"(?i)\\r\\n{name}:[ \\t]*([^\\r\\n]*)"
+        found = F.regexp_extract(head, line, 1)
+        return F.when(head.rlike(line) if empty else found != "", found)
 
     length = F.expr("if(length(_length) <= 12, try_cast(_length as bigint), null)")  # else sums could overflow
     size = F.octet_length(rest).cast("long")
@@ -134,7 +135,7 @@ def parsed(rest: Column) -> dict[str, Column]:
         "size": size,
         "type": F.lower(field("WARC-Type")),
         "record_id": field("WARC-Record-ID"),
-        "page_id": F.url_decode(field("WARC-Page-ID")),
+        "page_id": F.url_decode(field("WARC-Page-ID", empty=True)),
         "url": field("WARC-Target-URI"),
         "declared": field("WARC-Payload-Digest"),
         "refers": field("WARC-Refers-To"),
