@@ -289,14 +289,8 @@ def resolved(records: DataFrame) -> DataFrame:
     of = records.filter("type = 'response'").select(
         F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"), F.col("payload_digest").alias("full_digest")
     )
-    revisit = F.col("type") == "revisit"
-    return (
-        records.join(of.dropDuplicates(["refers"]), "refers", "left")
-        .withColumns(
-            {
-                "payload_bytes": F.when(revisit, F.col("full_bytes")).otherwise(F.col("payload_bytes")),
-                "payload_digest": F.when(revisit, F.col("full_digest")).otherwise(F.col("payload_digest")),
-            }
-        )
-        .drop("full_bytes", "full_digest")
-    )
+    taken = ["payload_bytes", "payload_digest"]
+    found = records.filter("type = 'revisit'").drop(*taken).join(of.dropDuplicates(["refers"]), "refers", "left")
+    found = found.withColumnsRenamed({"full_bytes": taken[0], "full_digest": taken[1]})
+    rest = records.filter("type is null or type <> 'revisit'")  # they refer to nothing, so they don't meet in the join
+    return rest.withColumn("refers_to", F.lit(None).cast("string")).unionByName(found)
