@@ -8,9 +8,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import suppress
-from functools import cache
+from functools import cache, reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from installarc.settings import RunWindow
@@ -142,34 +142,64 @@ def write_full(df: DataFrame, path: str, day: str, order: Sequence[str]) -> None
     _ordered(monthly, order).write.mode("overwrite").partitionBy("month").parquet(path)
 
 
+#: Folder name that Spark gives to the partition of NULL (and of empty text, which reads back as NULL).
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_text(column: Column) -> Column:
+    """A partition's value as text, as its folder has it before escaping; NULL and empty text are one partition."""
+    text = column.cast("string")
+    return F.when(text != "", text)
+
+
+def stored_partitions(spark: SparkSession, path: str, column: str) -> dict[str | None, str]:
+    """Folder of each partition of a table by its value as text, or None for the NULL partition."""
+    files, root = _file_system(spark, path)
+    unescaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found: dict[str | None, str] = {}
+    if not files.exists(root):
+        return found
+    for status in files.listStatus(root):
+        name, _, value = status.getPath().getName().partition("=")
+        if value and unescaped(name) == column:
+            found[None if value == NULL_PARTITION else unescaped(value)] = status.getPath().toString()
+    return found
+
+
 def replace_partitions(
-    df: DataFrame, path: str, column: str, order: Sequence[str], owned: Callable[[str], bool] = lambda value: False
-) -> set:
-    """Replace the partitions that occur in ``df``; returns their values.
+    df: DataFrame,
+    path: str,
+    column: str,
+    order: Sequence[str],
+    owned: Callable[[str | None], bool] = lambda value: False,
+) -> set[str | None]:
+    """Replace the partitions that occur in ``df``; returns their values as text, None for NULL.
 
     Partitions without new rows whose value the run has ``owned`` are removed, as they
-    would be by a delete and insert.
+    would be by a delete and insert. Values are compared unescaped, so any text, time or NULL can be one.
     """
     seen = Observation()
-    watched = _ordered(df, order).observe(seen, F.collect_set(column).alias("values"))
+    told = F.struct(partition_text(F.col(column)).alias("value"))  # a set keeps a struct that holds a NULL
+    watched = _ordered(df, order).observe(seen, F.collect_set(told).alias("values"))
     (
         watched.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(path)
     )
-    written = set(seen.get["values"] or [])
-    kept = {str(value) for value in written}
-    files, root = _file_system(df.sparkSession, path)
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith(f"{column}="):
-            value = name.split("=", 1)[1]
-            if value not in kept and owned(value):
-                files.delete(status.getPath(), True)
+    written = {row["value"] for row in seen.get["values"] or []}
+    files, _ = _file_system(df.sparkSession, path)
+    for value, folder in stored_partitions(df.sparkSession, path, column).items():
+        if value not in written and owned(value):
+            files.delete(df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder), True)
     return written
 
 
+def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Condition that two aliased tables agree in all keys; NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
 def upsert_rows(
     df: DataFrame,
     path: str,
@@ -181,18 +211,25 @@ def upsert_rows(
 ) -> None:
     """Delete and insert by key: rows of ``df`` replace those of their key, keys in ``gone`` disappear.
 
-    Only partitions in which such keys lie are read and written. The new state of these is staged first,
+    Any key may be NULL and then equals NULL; empty text in the partition column is NULL, as it is when read back. Only
+    partitions in which such keys lie are read and written. The new state of these is staged first,
     so a failed run leaves the table as it was until the swap.
     """
-    new = stage(df)
+    blank_is_null = F.when(F.col(column).cast("string") != "", F.col(column))
+    new = stage(df.withColumn(column, blank_is_null))
     changed = new.select(*keys)
     if gone is not None:
-        changed = changed.unionByName(gone.select(*keys))
+        changed = changed.unionByName(gone.withColumn(column, blank_is_null).select(*keys))
     changed = stage(changed.distinct())
     touched = [row[0] for row in changed.select(column).distinct().collect()]
-    old = df.sparkSession.read.parquet(path).filter(F.col(column).isin(touched)).select(*df.columns)
-    kept = old.join(changed, list(keys), "left_anti")
-    names = {str(value) for value in touched}
+    inside = F.col(column).isin([value for value in touched if value is not None])
+    if None in touched:
+        inside = inside | F.col(column).isNull()
+    kind = new.schema[column].dataType
+    old = df.sparkSession.read.schema(new.select(*[c for c in new.columns if c != column], column).schema).parquet(path)
+    old = old.withColumn(column, F.col(column).cast(kind)).filter(inside).select(*df.columns)
+    kept = old.alias("_old").join(changed.alias("_new"), same_keys("_old", "_new", keys), "left_anti")
+    names = {row[0] for row in changed.select(partition_text(F.col(column))).distinct().collect()}
     replace_partitions(stage(kept.unionByName(new)), path, column, order, lambda value: value in names)
 
 
@@ -204,4 +241,4 @@ def replace_days(df: DataFrame, path: str, day: str, window: RunWindow, order: S
     """
     first = window.first_day.isoformat() if window.first_day else ""
     last = window.last_day.isoformat()
-    replace_partitions(df, path, day, order, lambda value: first <= value <= last)
+    replace_partitions(df, path, day, order, lambda value: value is not None and first <= value <= last)
