@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -11,11 +12,13 @@ from pyspark.sql import functions as F
 from installarc.functions import dims
 from installarc.functions.money import price_gross_usd, price_usd
 from installarc.operators.lookup import attach, rate_lookup
+from installarc.operators.overlap import overlap_join
 from installarc.operators.shape import padded_union
 from installarc.operators.timeline import asof_join, interval_join
 from installarc.plans import attribution, cohorts, purchases, reference, revenue, sessions, subscriptions
 from installarc.plans.build import build_marts
 from installarc.settings import MartConfig, RunWindow, prepare
+from installarc.sources.published import publish_partitions
 from installarc.sources.sample import BASE_TABLES, Sample
 from installarc.sources.tables import EVENT_TIME_COLUMNS, Staging, read_table, replace_days, replace_partitions, upsert_rows
 
@@ -167,7 +170,7 @@ class Inputs:
             raw["validations"],
             raw["fees"],
             self.rates(),
-            self.sessions(),
+            self.stored("sessions"),
             raw["campaigns"],
             self.stage,
         )
@@ -183,7 +186,7 @@ class Inputs:
     def context(self) -> DataFrame:
         raw = self.raw
         return subscriptions.subscription_context(
-            raw["paid_activations"], raw["trial_activations"], self.sessions()
+            raw["paid_activations"], raw["trial_activations"], self.stored("sessions")
         )
 
     def profile(self) -> DataFrame:
@@ -217,6 +220,19 @@ def interval_query(inp: Inputs) -> DataFrame:
     return found.select(*USER, "event_name", "event_time", "price", "user_lifetime_id", "user_lifetime_number")
 
 
+def overlap_query(inp: Inputs) -> DataFrame:
+    """Purchases in the lifetimes that run or ended less than three days before: every one, and the one begun last."""
+    spans = inp.stored("lifetimes").withColumn("until", F.col("lifetime_end_time") + F.expr("INTERVAL 3 DAYS"))
+    payload = ["user_lifetime_id", "install_time"]
+    found = [
+        overlap_join(inp.raw["inapp"], spans, USER, "event_time", "install_time", "until", payload, keep=keep, how=how).withColumn(
+            "mode", F.lit(keep)
+        )
+        for keep, how in (("all", "inner"), ("latest", "left"))
+    ]
+    return padded_union(found).select(*USER, "event_name", "event_time", "price", *payload, "mode")
+
+
 def date_range_query(inp: Inputs) -> DataFrame:
     users = cohorts.window_lifetimes(inp.stored("lifetimes"), None, FULL, CONFIG)
     rows = cohorts.ad_rows(inp.stored("ad_daily"), FULL, CONFIG)
@@ -324,26 +340,50 @@ def incremental_query(inp: Inputs) -> DataFrame:
     )
 
 
+NO_DAY = date(2024, 1, 5)  # a cohort day that the tables of the sink queries hold as NULL
+
+
+def nullable_utn(inp: Inputs) -> DataFrame:
+    """Active users by cohort with keys that can be NULL: unknown dimensions, and the day of one cohort."""
+    unknown = {c: F.when(F.col(c) != "", F.col(c)) for c in dims.COHORT_KEY if c != "cohort_date"}
+    day = F.when(F.col("cohort_date") != F.lit(NO_DAY), F.col("cohort_date"))
+    return inp.stage(inp.utn().withColumns({**unknown, "cohort_date": day}))
+
+
 def upsert_query(inp: Inputs) -> DataFrame:
-    """A cohort table whose later cohorts are written again over a first version."""
-    path, utn, order = inp.stage.folder(), inp.stage(inp.utn()), list(dims.COHORT_KEY)
-    later = F.col("cohort_date") >= date(2024, 1, 15)
+    """A cohort table whose later and undated cohorts are written again over a first version."""
+    path, utn, order = inp.stage.folder(), nullable_utn(inp), list(dims.COHORT_KEY)
+    later = F.coalesce(F.col("cohort_date") >= date(2024, 1, 15), F.lit(True))
     first = utn.withColumn("clients_sdk_utn", F.when(later, 0).otherwise(F.col("clients_sdk_utn")))
     # two dates that the next run no longer has, one within the days it owns and one that is not its own
     gone = utn.filter(later).limit(1).withColumn("cohort_date", F.lit(date(2024, 3, 1)))
     old = utn.filter(later).limit(1).withColumn("cohort_date", F.lit(date(2023, 12, 1)))
     replace_partitions(first.unionByName(gone).unionByName(old), path, "cohort_date", order)
-    replace_partitions(utn.filter(later), path, "cohort_date", order, lambda day: day >= "2024-01-15")
-    return inp.raw.spark.read.parquet(path).select(*utn.columns).filter(F.col("cohort_date") > date(2023, 12, 1))
+    replace_partitions(utn.filter(later), path, "cohort_date", order, lambda day: day is None or day >= "2024-01-15")
+    stored = inp.raw.spark.read.parquet(path).select(*utn.columns)
+    return stored.filter(F.coalesce(F.col("cohort_date") > date(2023, 12, 1), F.lit(True)))
+
+
+def published_query(inp: Inputs) -> DataFrame:
+    """The same for readers of a published table, for whom all partitions of a run change in one step."""
+    root, name = inp.stage.folder(), f"active_users_{uuid.uuid4().hex[:12]}"
+    utn, order = nullable_utn(inp), list(dims.COHORT_KEY)
+    later = F.coalesce(F.col("cohort_date") >= date(2024, 1, 15), F.lit(True))
+    first = utn.withColumn("clients_sdk_utn", F.when(later, 0).otherwise(F.col("clients_sdk_utn")))
+    gone = utn.filter(later).limit(1).withColumn("cohort_date", F.lit(date(2024, 3, 1)))
+    publish_partitions(first.unionByName(gone), name, root, "cohort_date", order)
+    publish_partitions(utn.filter(later), name, root, "cohort_date", order, lambda day: day is None or day >= "2024-01-15")
+    return inp.raw.spark.table(name)
 
 
 def upsert_keys_query(inp: Inputs) -> DataFrame:
     """A cohort table in which single keys are replaced, added and deleted; other rows of their dates stay."""
-    path, utn, order = inp.stage.folder(), inp.stage(inp.utn()), list(dims.COHORT_KEY)
-    pick = F.pmod(F.crc32(F.concat_ws("|", *[F.col(c).cast("string") for c in order]).cast("binary")), F.lit(5))
+    path, utn, order = inp.stage.folder(), nullable_utn(inp), list(dims.COHORT_KEY)
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]
+    pick = F.pmod(F.crc32(F.concat_ws("|", *shown).cast("binary")), F.lit(5))
     changed, added, kept = utn.filter(pick == 0), utn.filter(pick == 1), utn.filter(pick > 1)
     stale = changed.withColumn("clients_sdk_utn", F.lit(-1).cast("long"))
-    gone = kept.withColumn("application", F.concat("application", F.lit(" gone")))
+    gone = kept.withColumn("application", F.concat(F.coalesce("application", F.lit("")), F.lit(" gone")))
     replace_partitions(kept.unionByName(stale).unionByName(gone), path, "cohort_date", order)
     upsert_rows(changed.unionByName(added), path, "cohort_date", order, order, inp.stage, gone)
     return inp.raw.spark.read.parquet(path).select(*utn.columns)
@@ -402,6 +442,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "scd2_lifetimes": lambda i: attribution.install_lifetimes(i.stored("attribution_events")),
     "asof_join": asof_query,
     "interval_join": interval_query,
+    "overlap_join": overlap_query,
     "date_range_join": date_range_query,
     "active_lifetimes": active_lifetimes_query,
     "cohort_users": Inputs.users,
@@ -448,6 +489,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "incremental_equals_full": incremental_query,
     "upsert_partitions": upsert_query,
     "upsert_keys": upsert_keys_query,
+    "published_partitions": published_query,
     "built_marts": built_marts_query,
     "trusted_times": trusted_time_query,
     "run_windows": run_windows_query,

@@ -670,6 +670,12 @@ FROM (SELECT *, unnest(json_keys(payload, '{path}')) AS c FROM snaps)
 """
 
 
+_UNKNOWN = ", ".join(f"nullif({c}, '') AS {c}" for c in DIMS)
+_NULLABLE_UTN = f"SELECT * REPLACE ({_UNKNOWN}, nullif(cohort_date, DATE '2024-01-05') AS cohort_date) FROM utn"
+
+_HELD = """inapp e {join} users_scd2 u ON e.app_name = u.app_name AND e.client_id = u.client_id AND event_time >= install_time
+    AND (lifetime_end_time IS NULL OR event_time < lifetime_end_time + INTERVAL 3 DAY)"""
+
 QUERIES: dict[str, str] = {
     "scd2_lifetimes": f"""
 SELECT app_name, client_id, app_name || '|' || client_id || '|' || {STAMP} AS user_lifetime_id,
@@ -681,6 +687,13 @@ FROM attr_events WINDOW w AS (PARTITION BY app_name, client_id ORDER BY install_
 SELECT i.app_name, i.client_id, event_name, event_time, price, u.user_lifetime_id, u.install_time, u.lifetime_end_time
 FROM inapp i ASOF LEFT JOIN users_scd2 u
   ON i.app_name = u.app_name AND i.client_id = u.client_id AND u.install_time <= i.event_time""",
+    "overlap_join": f"""
+SELECT e.app_name, e.client_id, event_name, event_time, price, user_lifetime_id, install_time, 'all' AS mode FROM {_HELD.format(join='JOIN')}
+UNION ALL
+SELECT app_name, client_id, event_name, event_time, price, user_lifetime_id, install_time, 'latest' FROM (
+  SELECT e.*, u.user_lifetime_id, u.install_time, row_number() OVER (PARTITION BY e.n ORDER BY u.install_time DESC NULLS LAST, u.user_lifetime_id DESC) AS nth
+  FROM {_HELD.format(join='LEFT JOIN').replace('inapp e', '(SELECT *, row_number() OVER () AS n FROM inapp) e')}
+) WHERE nth = 1""",
     "interval_join": """
 SELECT i.app_name, i.client_id, event_name, event_time, price, u.user_lifetime_id, u.user_lifetime_number
 FROM inapp i JOIN users_scd2 u ON i.app_name = u.app_name AND i.client_id = u.client_id
@@ -779,8 +792,9 @@ SELECT feature, round(corr(x, later), 6) AS correlation FROM (
 SELECT event_date, count(*) AS lifetimes, cast(sum(sessions_count) AS BIGINT) AS sessions_count,
   cast(sum(purchases) AS BIGINT) AS purchases, cast(sum(total_revenue_gross) AS {MONEY}) AS total_revenue_gross,
   cast(sum(total_revenue_net) AS {MONEY}) AS total_revenue_net FROM daily GROUP BY 1""",
-    "upsert_partitions": "SELECT * FROM utn",
-    "upsert_keys": "SELECT * FROM utn",
+    "upsert_partitions": _NULLABLE_UTN,
+    "upsert_keys": _NULLABLE_UTN,
+    "published_partitions": _NULLABLE_UTN,
     "built_marts": """
 SELECT 'cohort_users' AS table_name, count(*) AS rows_count FROM users WHERE cohort_date < DATE '2024-02-01'
 UNION ALL SELECT 'daily', count(*) FROM daily WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'

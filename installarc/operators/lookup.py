@@ -9,11 +9,11 @@ split by the skew rule.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from installarc.operators.overlap import overlap_join
 from installarc.operators.shape import one_per_key
 from installarc.operators.timeline import asof_join
 from installarc.sources.tables import as_is
@@ -47,46 +47,27 @@ def rate_lookup(
     return dated.join(known, ["_rate_of", "_rate_day"], "left").drop("_rate_of", "_rate_day")
 
 
-def session_segments(sessions: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
-    """Times at which the owner of a key's events changes, with the owner from then on (NULL: none).
-
-    The owner is the open session that started last. It can only change where a session starts or just after one
-    ends; each such time is judged by the sessions that touch its hour, so no key is ever in one group.
-    """
-    just_after = F.col("session_end") + F.expr("INTERVAL 1 MICROSECOND")
-    touched = sessions.filter(
-        reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]) & (F.col("session_start") <= F.col("session_end"))
-    ).select(
-        *keys,
-        F.explode(
-            F.sequence(F.date_trunc("hour", "session_start"), F.date_trunc("hour", just_after), F.expr("INTERVAL 1 HOUR"))
-        ).alias("_hour"),
-        F.struct("session_start", "session_id", "session_end", just_after.alias("_after"), *carry).alias("_one"),
-    )
-    cells = touched.groupBy(*keys, "_hour").agg(F.collect_set("_one").alias("_open"))
-    times = F.flatten(F.transform("_open", lambda s: F.array(s["session_start"], s["_after"])))
-    inside = F.filter(F.array_distinct(times), lambda t: F.date_trunc("hour", t) == F.col("_hour"))
-    changes = cells.select(*keys, "_open", F.explode(inside).alias("segment_start"))
-    holding = F.filter(
-        "_open",
-        lambda s: (s["session_start"] <= F.col("segment_start")) & (F.col("segment_start") <= s["session_end"]),
-    )
-    return changes.select(*keys, "segment_start", F.array_max(holding).alias("_owner")).select(
-        *keys, "segment_start", *[F.col(f"_owner.{c}").alias(c) for c in ("session_id", *carry)]
-    )
-
-
 def session_match(
     events: DataFrame, sessions: DataFrame, keys: Sequence[str], time: str, carry: Sequence[str] = ()
 ) -> DataFrame:
     """Adds the session that holds an event, and its columns ``carry``; of several the one that started last.
 
     The first and the last instant of a session belong to it. Columns of ``events`` called like an added one are
-    replaced.
+    replaced. A session is placed in two bins at most however long it lasts, so a broken end costs no more than any other.
     """
-    segments = session_segments(sessions, keys, carry)
-    plain = events.drop("session_id", *carry)
-    return asof_join(plain, segments, keys, time, "segment_start", ["session_id", *carry])
+    return overlap_join(
+        events,
+        sessions.filter(F.col("session_end").isNotNull()),
+        keys,
+        time,
+        "session_start",
+        "session_end",
+        ["session_id", *carry],
+        keep="latest",
+        closed=True,
+        how="left",
+        tie_break=["session_id", "session_end"],
+    )
 
 
 def attach(facts: DataFrame, dim: DataFrame, on: str | Sequence[str], default: dict | None = None) -> DataFrame:
