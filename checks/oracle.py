@@ -670,6 +670,11 @@ FROM (SELECT *, unnest(json_keys(payload, '{path}')) AS c FROM snaps)
 """
 
 
+_DAILY_SUMS = f"""
+SELECT event_date, count(*) AS lifetimes, cast(sum(sessions_count) AS BIGINT) AS sessions_count,
+  cast(sum(purchases) AS BIGINT) AS purchases, cast(sum(total_revenue_gross) AS {MONEY}) AS total_revenue_gross,
+  cast(sum(total_revenue_net) AS {MONEY}) AS total_revenue_net FROM daily GROUP BY 1"""
+
 _UNKNOWN = ", ".join(f"nullif({c}, '') AS {c}" for c in DIMS)
 _NULLABLE_UTN = f"SELECT * REPLACE ({_UNKNOWN}, nullif(cohort_date, DATE '2024-01-05') AS cohort_date) FROM utn"
 
@@ -788,10 +793,10 @@ SELECT feature, round(corr(x, later), 6) AS correlation FROM (
       coalesce(sum(ad_impressions) FILTER (day_idx < 2), 0) AS f4, coalesce(sum(total_revenue_net) FILTER (day_idx < 2), 0) AS f5,
       coalesce(sum(total_revenue_net) FILTER (day_idx >= 2), 0) AS later FROM daily GROUP BY 1)
 ) GROUP BY 1""",
-    "incremental_equals_full": f"""
-SELECT event_date, count(*) AS lifetimes, cast(sum(sessions_count) AS BIGINT) AS sessions_count,
-  cast(sum(purchases) AS BIGINT) AS purchases, cast(sum(total_revenue_gross) AS {MONEY}) AS total_revenue_gross,
-  cast(sum(total_revenue_net) AS {MONEY}) AS total_revenue_net FROM daily GROUP BY 1""",
+    "incremental_equals_full": _DAILY_SUMS,
+    "late_data_equals_full": _DAILY_SUMS,
+    "incremental_sessions": "SELECT * FROM sess",
+    "incremental_activity": "SELECT * FROM activity",
     "upsert_partitions": _NULLABLE_UTN,
     "upsert_keys": _NULLABLE_UTN,
     "published_partitions": _NULLABLE_UTN,
