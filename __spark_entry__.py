@@ -15,7 +15,7 @@ from installarc.operators.lookup import attach, rate_lookup
 from installarc.operators.overlap import overlap_join
 from installarc.operators.shape import padded_union
 from installarc.operators.timeline import asof_join, interval_join
-from installarc.plans import attribution, cohorts, purchases, reference, revenue, sessions, subscriptions
+from installarc.plans import active, attribution, cohorts, purchases, reference, revenue, sessions, subscriptions
 from installarc.plans.build import build_marts
 from installarc.settings import MartConfig, RunWindow, prepare
 from installarc.sources.changes import changed_days, newest_change, rebuild_changed
@@ -388,6 +388,15 @@ def incremental_activity_query(inp: Inputs) -> DataFrame:
     return inp.raw.spark.read.parquet(session_runs(inp)[1])
 
 
+def active_query(inp: Inputs) -> DataFrame:
+    """Active and returning lifetimes by day, week and month from bitmaps that two runs have stored."""
+    ids, path, daily = inp.stage.folder(), inp.stage.folder(), inp.stored("daily")
+    for window in (RunWindow(run_date=date(2024, 1, 17), full_refresh=True), RunWindow(run_date=RUN_DATE, start=date(2024, 1, 15))):
+        active.store_active(daily, ids, path, window, inp.stage)
+    parts = inp.raw.spark.read.parquet(path)
+    return padded_union([active.active_users(parts, period) for period in ("day", "week", "month")])
+
+
 NO_DAY = date(2024, 1, 5)  # a cohort day that the tables of the sink queries hold as NULL
 
 
@@ -538,6 +547,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "late_data_equals_full": late_query,
     "incremental_sessions": incremental_sessions_query,
     "incremental_activity": incremental_activity_query,
+    "active_users": active_query,
     "upsert_partitions": upsert_query,
     "upsert_keys": upsert_keys_query,
     "published_partitions": published_query,

@@ -797,6 +797,16 @@ SELECT feature, round(corr(x, later), 6) AS correlation FROM (
     "late_data_equals_full": _DAILY_SUMS,
     "incremental_sessions": "SELECT * FROM sess",
     "incremental_activity": "SELECT * FROM activity",
+    "active_users": """
+SELECT * FROM (WITH seen AS (
+  SELECT DISTINCT period, cast(date_trunc(period, event_date) AS DATE) AS period_start, application, platform, user_lifetime_id,
+    cast(date_trunc(period, event_date) - CASE period WHEN 'day' THEN INTERVAL 1 DAY WHEN 'week' THEN INTERVAL 7 DAY ELSE INTERVAL 1 MONTH END AS DATE) AS earlier
+  FROM daily, (VALUES ('day'), ('week'), ('month')) p(period) WHERE sessions_count > 0
+)
+SELECT a.period, a.period_start, a.application, a.platform, count(*) AS active_users, count(b.user_lifetime_id) AS returning_users
+FROM seen a LEFT JOIN seen b ON b.period = a.period AND b.period_start = a.earlier AND b.user_lifetime_id = a.user_lifetime_id
+  AND b.application IS NOT DISTINCT FROM a.application AND b.platform IS NOT DISTINCT FROM a.platform
+GROUP BY 1, 2, 3, 4)""",
     "upsert_partitions": _NULLABLE_UTN,
     "upsert_keys": _NULLABLE_UTN,
     "published_partitions": _NULLABLE_UTN,

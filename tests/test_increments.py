@@ -99,4 +99,9 @@ def test_runs_over_windows_equal_one_run(spark, tmp_path):
         store_parts(seen, parts, window)
         days = update_sessions(parts, path, window, stage)
     assert plain(spark.read.parquet(path)) == plain(whole)
+    lone = events.filter("session_id is not null")
+    parts, path = str(tmp_path / "parts2"), str(tmp_path / "sessions2")
+    for window in (RunWindow(run_date=RUN, full_refresh=True), RunWindow(run_date=RUN, start=date(2024, 1, 10), end=date(2024, 1, 10))):
+        store_parts(lone, parts, window)
+        days = update_sessions(parts, path, window, stage)
     assert max(days) < date(2024, 1, 15)  # sessions of later days were left alone
