@@ -15,7 +15,7 @@ from installarc.operators.lookup import attach, rate_lookup
 from installarc.operators.overlap import overlap_join
 from installarc.operators.shape import padded_union
 from installarc.operators.timeline import asof_join, interval_join
-from installarc.plans import active, attribution, cohorts, purchases, reference, revenue, sessions, subscriptions
+from installarc.plans import active, attribution, cohorts, curves, purchases, reference, revenue, sessions, subscriptions
 from installarc.plans.build import build_marts
 from installarc.settings import MartConfig, RunWindow, prepare
 from installarc.sources.changes import changed_days, newest_change, rebuild_changed
@@ -388,6 +388,24 @@ def incremental_activity_query(inp: Inputs) -> DataFrame:
     return inp.raw.spark.read.parquet(session_runs(inp)[1])
 
 
+def incremental_curves_query(inp: Inputs) -> DataFrame:
+    """Curves after three runs; what the first saw of its last two days was wrong, and one of its cohorts is gone later."""
+    path, long = inp.stage.folder(), inp.stage(inp.long())
+    last_days = F.col("event_date") >= date(2024, 1, 13)
+    wrong = long.withColumn("total_revenue_net", F.when(last_days, F.col("total_revenue_net") * 2 + 1).otherwise(F.col("total_revenue_net")))
+    kind = long.schema["total_revenue_net"].dataType
+    wrong = wrong.withColumn("total_revenue_net", F.col("total_revenue_net").cast(kind))
+    gone = long.filter(last_days & (F.col("day_idx") == 0)).withColumn("ad", F.lit("gone"))
+    runs = [
+        (wrong.unionByName(gone), RunWindow(run_date=RUN_DATE, end=date(2024, 1, 14))),
+        (long, RunWindow(run_date=RUN_DATE, start=date(2024, 1, 13), end=date(2024, 1, 24))),
+        (long, RunWindow(run_date=RUN_DATE, start=date(2024, 1, 25))),
+    ]
+    for seen, window in runs:
+        curves.store_curves(seen, path, window, CONFIG, inp.stage)
+    return curves.curves_of(inp.raw.spark.read.parquet(path), CONFIG)
+
+
 def active_query(inp: Inputs) -> DataFrame:
     """Active and returning lifetimes by day, week and month from bitmaps that two runs have stored."""
     ids, path, daily = inp.stage.folder(), inp.stage.folder(), inp.stored("daily")
@@ -548,6 +566,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "incremental_sessions": incremental_sessions_query,
     "incremental_activity": incremental_activity_query,
     "active_users": active_query,
+    "incremental_curves": incremental_curves_query,
     "upsert_partitions": upsert_query,
     "upsert_keys": upsert_keys_query,
     "published_partitions": published_query,

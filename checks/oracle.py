@@ -797,6 +797,7 @@ SELECT feature, round(corr(x, later), 6) AS correlation FROM (
     "late_data_equals_full": _DAILY_SUMS,
     "incremental_sessions": "SELECT * FROM sess",
     "incremental_activity": "SELECT * FROM activity",
+    "incremental_curves": "SELECT * FROM curves",
     "active_users": """
 SELECT * FROM (WITH seen AS (
   SELECT DISTINCT period, cast(date_trunc(period, event_date) AS DATE) AS period_start, application, platform, user_lifetime_id,
