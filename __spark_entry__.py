@@ -550,6 +550,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dimension_lookup": dimension_query,
     "revenue_feed": revenue_feed_query,
     "latest_snapshot": lambda i: reference.latest_snapshot(reference.campaign_snapshots(i.raw["snapshots_raw"])),
+    "campaign_snapshots": lambda i: reference.campaign_snapshots(i.raw["snapshots_raw"]).drop(
+        "targeting_countries", "goal_country_values", "budget_country_values"
+    ),
     "json_country_explode": json_query,
     "payment_stream": lambda i: purchases.payment_stream(i.raw["payments"]),
     "first_24h": first_24h_query,

@@ -734,7 +734,7 @@ SELECT client_id, event_time, local_price,
     "inapp_refunds": "SELECT * FROM refunds",
     "inapp_fact": f"SELECT *, {_nothing('media_source creative promo_campaign')} FROM inapp_facts",
     "subscription_stream": "SELECT * FROM sub_stream",
-    "subscription_context": "SELECT * FROM sub_context",
+    "subscription_context": f"SELECT *, {_nothing('media_source creative promo_campaign')} FROM sub_context",
     "subscription_fact": f"SELECT *, {_nothing('media_source creative promo_campaign')} FROM sub_fact",
     "rates_scd2": "SELECT * FROM rates",
     "rate_lookup": f"""
@@ -751,6 +751,9 @@ UNION ALL BY NAME SELECT *, 'ad_impression' AS feed FROM imp_feed UNION ALL BY N
     "latest_snapshot": """
 SELECT * EXCLUDE (payload) FROM snaps
 QUALIFY row_number() OVER (PARTITION BY account_id, campaign_id ORDER BY snapshot_ts DESC) = 1""",
+    "campaign_snapshots": """
+SELECT * EXCLUDE (payload), cast(json_extract(payload, '$.goal.country_code_to_goal_value') AS VARCHAR) AS goal_country_values_raw,
+  cast(json_extract(payload, '$.budget.country_code_to_daily_budget') AS VARCHAR) AS budget_country_values_raw FROM snaps""",
     "json_country_explode": f"""
 {_exploded('$.goal.country_code_to_goal_value', 'goal', 'goal_value', 'goal_type,')} UNION ALL BY NAME
 {_exploded('$.budget.country_code_to_daily_budget', 'budget', 'daily_budget')} UNION ALL BY NAME

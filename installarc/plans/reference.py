@@ -46,7 +46,7 @@ PAYLOAD = """struct<
 
 
 def campaign_snapshots(raw: DataFrame) -> DataFrame:
-    """Snapshots without repeated deliveries, with the goal type and the country blocks of their payload, parsed once."""
+    """Snapshots without repeated deliveries, with the goal type and the country blocks of their payload, parsed and as text."""
     once = one_per_key(raw, ["account_id", "campaign_id", "snapshot_ts"], ["payload"])
     return once.withColumn("_payload", F.from_json("payload", PAYLOAD)).select(
         "account_id",
@@ -58,12 +58,14 @@ def campaign_snapshots(raw: DataFrame) -> DataFrame:
         F.col("_payload.targeting.countries").alias("targeting_countries"),
         F.col("_payload.goal.country_code_to_goal_value").alias("goal_country_values"),
         F.col("_payload.budget.country_code_to_daily_budget").alias("budget_country_values"),
+        F.get_json_object("payload", "$.goal.country_code_to_goal_value").alias("goal_country_values_raw"),
+        F.get_json_object("payload", "$.budget.country_code_to_daily_budget").alias("budget_country_values_raw"),
     )
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
     """Newest snapshot of every campaign, without its country blocks."""
-    plain = snapshots.drop("targeting_countries", "goal_country_values", "budget_country_values")
+    plain = snapshots.drop("targeting_countries", *[f"{b}_country_values{r}" for b in ("goal", "budget") for r in ("", "_raw")])
     return one_per_key(plain, ["account_id", "campaign_id"], ["snapshot_ts"])
 
 

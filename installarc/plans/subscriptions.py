@@ -105,11 +105,19 @@ def subscription_stream(
     return priced(stage(once), rates, fees, stage).drop("platform", "price_gross")
 
 
+# Columns of the context that no source fills yet.
+UNKNOWN_CONTEXT = ("media_source", "creative", "promo_campaign")
+
+
 def subscription_context(paid: DataFrame, trials: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Activation context per transaction: the earliest activation, and number and device of its session."""
+    """Activation context per transaction: the earliest activation, and number and device of its session.
+
+    ``UNKNOWN_CONTEXT`` is NULL by contract.
+    """
     both = padded_union([paid, trials])
     first = one_per_key(both, TX, ["event_time", "trigger_name"], keep="first")
-    return session_match(first, sessions, USER, "event_time", ["session_number", "device_name", "device_version"])
+    found = session_match(first, sessions, USER, "event_time", ["session_number", "device_name", "device_version"])
+    return found.withColumns({c: F.lit(None).cast("string") for c in UNKNOWN_CONTEXT})
 
 
 def chain_clients(rows: DataFrame) -> DataFrame:

@@ -139,3 +139,10 @@ def test_timestamp_spellings(spark):
     assert got[:3] == [at, at.replace(microsecond=123456), at]
     assert got[3] == datetime(2024, 1, 2, 1, 4, 5, 500000)
     assert got[4:] == [datetime(2024, 1, 2), at, None, None]
+
+
+def test_more_spellings_of_timestamps(spark):
+    at = datetime(2024, 1, 2, 3, 4, 5)
+    texts = ["2024-01-02 03:04:05 UTC", "2024/01/02 03:04:05", "2024-01-02T05:04:05+02", "2024-01-02 03:04:05 gmt", "1704164645000000", "1704164645.25"]
+    got = values(spark, "t string", [(t,) for t in [*texts, "2024/01/02", "1.5", "12:30 +02"]], times.parse_timestamp(F.col("t")))
+    assert got == [at] * 5 + [at.replace(microsecond=250000), datetime(2024, 1, 2), None, None]
