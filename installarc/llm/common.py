@@ -36,6 +36,13 @@ def content_key(doc_id: Column, text: Column) -> Column:
     )
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like ``name`` that a table does not have."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def groups_of(count: int, size: int) -> int:
     """Number of groups that hold about ``size`` of ``count`` rows each."""
     return max(1, -(-count // size))

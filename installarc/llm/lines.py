@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from installarc.llm.common import content_key, stage_for
+from installarc.llm.common import content_key, fresh, stage_for
 
 KEY = "struct<id:string,a:bigint,b:int>"
 WINDOW = f"key {KEY}, doc string, first int, last int, spot int, print long, run long, run2 long"
@@ -43,16 +43,15 @@ def fingerprints(hashes: np.ndarray, spans: list[tuple[int, int]]) -> list[int]:
     return [last - int(hashes[first : last + 1][::-1].argmin()) for first, last in spans]
 
 
-def _windows(docs: DataFrame, least_words: int, whole_runs: bool) -> DataFrame:
+def _windows(docs: DataFrame, least_words: int) -> DataFrame:
     """A row for each window of a document: its fingerprint, where that lies, and a 128-bit hash of all its lines."""
-    find = windows_both_ways if whole_runs else windows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for key, doc, body in zip(*[batch[c].to_pylist() for c in ("key", "doc", "body")], strict=True):
                 lines = (body or b"").split(b"\n")
-                spans = find(lines, least_words)
+                spans = windows_both_ways(lines, least_words)
                 hashes = np.fromiter((xxhash.xxh64_intdigest(x) >> 1 for x in lines), np.int64, len(lines))
                 for (first, last), at in zip(spans, fingerprints(hashes, spans), strict=True):
                     run = xxhash.xxh3_128_intdigest(hashes[first : last + 1].tobytes())
@@ -65,38 +64,34 @@ def _windows(docs: DataFrame, least_words: int, whole_runs: bool) -> DataFrame:
     return docs.mapInArrow(cut, WINDOW)
 
 
-def dedup_lines(
-    docs: DataFrame, least_words: int = 25, doc_id: str = "doc_id", text: str = "text", whole_runs: bool = False
-) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_words: int = 25, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Adds ``clean_text``, ``n_lines``, ``n_removed`` and ``removed`` (line numbers from 0) to every row.
 
     A run of consecutive whole lines with at least ``least_words`` words in all that occurs earlier, by id and
-    then by line, is deleted, however long it is; its first occurrence stays. Lines are told apart byte by byte.
-    This holds with ``whole_runs``. Without, a run's last lines, together less than ``least_words`` words, may stay: only
-    the shortest windows from each line on are deleted, as the check SQL of ``op7_dedup_lines`` has it.
+    then by line, is deleted to its last line, however long it is; its first occurrence stays. Lines are told apart byte by byte.
 
-    The shortest windows of so many words, from each line on and (``whole_runs``) up to each line, are winnowed: the
+    The shortest windows of so many words, from each line on and up to each line, are winnowed: the
     line of the smallest hash is the window's fingerprint, so any repeated run shares one in each of its windows. Places
     of fingerprints are counted over all documents; only windows of repeated ones are compared, as a whole, with the
-    first window of the same lines. Overlapping repeated windows join; those of both ways to the maximal run on both
-    sides. Each window meets its first only, so copies are never paired.
+    first window of the same lines. Each line of a repeated run lies in a window from it on, or up to the run's last line, so
+    overlapping repeated windows join to the maximal run on both sides. Each window meets its first only, so copies are never paired.
 
     Ids are in order of number and then of text, NULL last; documents of one id are in order of their texts' hashes.
     Rows that repeat id and text are one document and lose the same lines. NULL texts have no lines and stay NULL, empty texts stay
     empty. Columns called like the added ones are replaced.
     """
     added = ["clean_text", "n_lines", "n_removed", "removed"]
+    own_key, gone = fresh("_line_key", docs.columns), fresh("_gone", docs.columns)
     kept = [c for c in docs.columns if c.lower() not in added]
-    keyed = docs.select(*kept, content_key(F.col(doc_id), F.col(text)).cast(KEY).alias("_line_key"))
+    keyed = docs.select(*kept, content_key(F.col(doc_id), F.col(text)).cast(KEY).alias(own_key))
     cut = stage_for(docs)(
         _windows(
             keyed.select(
-                F.col("_line_key").alias("key"),
+                F.col(own_key).alias("key"),
                 F.col(doc_id).cast("string").alias("doc"),
                 F.col(text).cast("binary").alias("body"),
             ),
             least_words,
-            whole_runs,
         )
     )
     number = F.expr("try_cast(doc as decimal(38,0))").alias("number")
@@ -110,16 +105,16 @@ def dedup_lines(
     removed = (
         again.select("key", F.explode(F.sequence("first", "last")).alias("line"))
         .groupBy("key")
-        .agg(F.array_sort(F.collect_set("line")).alias("_gone"))
-        .withColumnRenamed("key", "_line_key")
+        .agg(F.array_sort(F.collect_set("line")).alias(gone))
+        .withColumnRenamed("key", own_key)
     )
     lines = F.split(F.col(text), "\n")
     left = F.filter(
         F.transform(lines, lambda x, i: F.when(~F.array_contains("removed", i), x)), lambda x: x.isNotNull()
     )
     return (
-        keyed.join(removed, "_line_key", "left")
-        .withColumn("removed", F.coalesce("_gone", F.array().cast("array<int>")))
+        keyed.join(removed, own_key, "left")
+        .withColumn("removed", F.coalesce(gone, F.array().cast("array<int>")))
         .select(
             *kept,
             F.when(F.size("removed") == 0, F.col(text)).otherwise(F.array_join(left, "\n")).alias("clean_text"),

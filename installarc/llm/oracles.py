@@ -124,19 +124,16 @@ with listed as (
   select doc_id, string_split(text, chr(10)) as l from documents
 ), cut as (
   select doc_id, unnest(l) as line, generate_subscripts(l, 1) - 1 as i from listed
-), counted as (
-  select *, sum(len(regexp_extract_all(line, '{BLANK_WORD}'))) over (partition by doc_id order by i) as up_to,
-    len(regexp_extract_all(line, '{BLANK_WORD}')) as own from cut
-), spans as (
-  select a.doc_id, a.i as first, min(b.i) as last from counted a join counted b
-    on a.doc_id = b.doc_id and b.i >= a.i and b.up_to - a.up_to + a.own >= 25 group by all
+), numbered as (
+  select *, len(regexp_extract_all(line, '{BLANK_WORD}')) as own, row_number() over (order by doc_id, i) as place from cut
+), pairs as (
+  select b.doc_id, b.i, b.own, a.doc_id as earlier, b.i - a.i as shift from numbered a join numbered b on a.line = b.line and a.place < b.place
 ), runs as (
-  select s.doc_id, first, last, string_agg(line, chr(10) order by i) as run
-  from spans s join cut c on c.doc_id = s.doc_id and c.i between first and last group by all
-), again as (
-  select * from (select *, row_number() over (partition by run, last - first order by doc_id, first) as nth from runs) where nth > 1
+  select *, i - row_number() over (partition by doc_id, earlier, shift order by i) as run from pairs
+), long as (
+  select doc_id, min(i) as first, max(i) as last from runs group by doc_id, earlier, shift, run having sum(own) >= 25
 ), gone as (
-  select distinct doc_id, unnest(range(first, last + 1)) as i from again
+  select distinct doc_id, unnest(range(first, last + 1)) as i from long
 )
 select doc_id, count(c.i)::int as n_lines, count(g.i)::int as n_removed,
   coalesce(string_agg(g.i::varchar, ',' order by g.i), '') as removed,

@@ -87,12 +87,6 @@ def op7_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"), "clean_text")
 
 
-def op7_dedup_whole_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As op7_dedup_lines, but repeated runs go to their last line; it has no check SQL."""
-    found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), whole_runs=True)
-    return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"), "clean_text")
-
-
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -171,5 +165,5 @@ def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op7_dedup_whole_runs, op8_near_duplicates, op9_shard, op10_nearest, op11_warc_records, op12_merkle_manifest, op13_repair_conversations)
+    f.__name__: f for f in (op1_mix_sources, op2_chat_perspectives, op3_decontaminate, op4_identify_language, op5_score_language_model, op6_host_reputation, op7_dedup_lines, op8_near_duplicates, op9_shard, op10_nearest, op11_warc_records, op12_merkle_manifest, op13_repair_conversations)
 }

@@ -1,33 +1,6 @@
-from installarc.llm import lines
-
-
-def brute(rows, least):
-    seen, out = set(), {}
-    for doc, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
-        parts, gone = (text or "").split("\n"), set()
-        for first in range(len(parts)):
-            words, last = 0, first
-            while last < len(parts) and words + len(parts[last].split()) < least:
-                words, last = words + len(parts[last].split()), last + 1
-            if last == len(parts):
-                break
-            run = tuple(parts[first : last + 1])
-            if run in seen:
-                gone |= set(range(first, last + 1))
-            seen.add(run)
-        out[doc] = (sorted(gone), "\n".join(p for i, p in enumerate(parts) if i not in gone) if text is not None else None)
-    return out
-
+from pyspark.sql import functions as F
 
-def test_equals_brute_force(spark, small):
-    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
-    long = " ".join(f"passage{i}" for i in range(60))
-    rows += [(1000, f"a\n{long}\nb"), (1001, f"c\n{long}"), (1002, None), (1003, ""), (1004, "\n".join(["x y z"] * 30)), (1005, f"{long}\n{long}")]
-    rows += [(1006, "k l m n o\n" * 4 + "end here now"), (1007, "other\n" + "k l m n o\n" * 4 + "end here now\n tail")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for least in (25, 6):
-        got = lines.dedup_lines(docs, least).collect()
-        assert {r["doc_id"]: (r["removed"], r["clean_text"]) for r in got} == brute(rows, least)
+from installarc.llm import lines
 
 
 def test_odd_rows(spark):
@@ -40,6 +13,9 @@ def test_odd_rows(spark):
     named = spark.createDataFrame([("a", long), ("b", long)], "doc_id string, text string")
     assert {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(named).collect()} == {"a": 0, "b": 1}
     assert lines.dedup_lines(docs.limit(0)).count() == 0
+    clash = docs.withColumns({"_line_key": F.lit(1), "_Gone": F.lit(2), "n_lines": F.lit(3), "key": F.lit(4), "print": F.lit(5)})
+    found = lines.dedup_lines(clash)
+    assert {"_line_key", "_Gone", "key", "print"} <= set(found.columns) and found.agg(F.sum("n_removed")).first()[0] == sum(r["n_removed"] for r in got)
 
 
 def equal_runs(rows, least):
@@ -67,7 +43,7 @@ def test_whole_runs_equal_runs_of_equal_lines(spark, small):
     rows += [(1004, f"{long}\ntail"), (1005, f"{long}\ntail"), (1006, "\n".join(["x y z"] * 30)), (1007, ""), (1008, f"{short}\nend")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for least in (25, 6):
-        got = {r["doc_id"]: r["removed"] for r in lines.dedup_lines(docs, least, whole_runs=True).collect()}
+        got = {r["doc_id"]: r["removed"] for r in lines.dedup_lines(docs, least).collect()}
         assert got == equal_runs(rows, least)
         if least == 25:
             assert got[1001] == [2, 3, 4] and got[1005] == [0, 1] and got[1008] == []
