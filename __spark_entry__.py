@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from installarc.functions import dims
 from installarc.functions.money import price_gross_usd, price_usd
+from installarc.functions.sql import register_functions, register_lifetimes
 from installarc.operators.lookup import attach, rate_lookup
 from installarc.operators.overlap import overlap_join
 from installarc.operators.shape import padded_union
 from installarc.operators.timeline import asof_join, interval_join
-from installarc.plans import active, attribution, cohorts, curves, purchases, reference, revenue, sessions, subscriptions
+from installarc.plans import active, attribution, cohorts, curves, profile, purchases, reference, revenue, sessions, subscriptions
 from installarc.plans.build import build_marts
 from installarc.settings import MartConfig, RunWindow, prepare
 from installarc.sources.changes import changed_days, newest_change, rebuild_changed
@@ -388,6 +389,42 @@ def incremental_activity_query(inp: Inputs) -> DataFrame:
     return inp.raw.spark.read.parquet(session_runs(inp)[1])
 
 
+def sql_prices_query(inp: Inputs) -> DataFrame:
+    """Prices, platform and kind of each payment in SQL text alone."""
+    spark = inp.raw.spark
+    register_functions(spark)
+    inp.raw["payments"].createOrReplaceTempView("payments_in_sql")
+    return spark.sql(
+        "SELECT payment_id, received_at, app_of(application, NULL) AS app_name, store_platform_of(store_name) AS platform, "
+        "revenue_type_of(product_id_type, type) AS revenue_type, "
+        "price_gross_usd(price, currencyRatesDenominator) AS price_gross_usd, price_usd(price, currencyRatesDenominator, 0.5) AS price_usd "
+        "FROM payments_in_sql"
+    )
+
+
+def sql_lifetimes_query(inp: Inputs) -> DataFrame:
+    """Lifetimes of some days by platform, from a table function in SQL text."""
+    spark = inp.raw.spark
+    register_functions(spark)
+    register_lifetimes(spark, inp.stored("lifetimes"))
+    return spark.sql(
+        "SELECT platform_of(platform) AS platform, count(*) AS lifetimes, count_if(lifetime_end_time IS NULL) AS open_lifetimes, "
+        "min(install_time) AS first_install FROM lifetimes_in(DATE '2024-01-10', DATE '2024-01-12') GROUP BY 1"
+    )
+
+
+PROFILED = {"customer": None, "orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
+
+
+def column_profile_query(inp: Inputs) -> DataFrame:
+    """Every column of some tables from sketches stored by month, with exact values held against the estimates."""
+    path, tables = inp.stage.folder(), {name: inp.raw[name] for name in PROFILED}
+    for name, day in PROFILED.items():
+        month = F.trunc(F.col(day).cast("date"), "month") if day else None
+        profile.column_sketches(tables[name], name, month).write.mode("append").parquet(path)
+    return profile.within_error(profile.united(inp.raw.spark.read.parquet(path)), tables)
+
+
 def incremental_curves_query(inp: Inputs) -> DataFrame:
     """Curves after three runs; what the first saw of its last two days was wrong, and one of its cohorts is gone later."""
     path, long = inp.stage.folder(), inp.stage(inp.long())
@@ -562,6 +599,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "source_compare": source_compare_query,
     "feature_corr": feature_corr_query,
     "table_profile": Inputs.profile,
+    "column_profile": column_profile_query,
+    "sql_prices": sql_prices_query,
+    "sql_lifetimes": sql_lifetimes_query,
     "layer_totals": lambda i: reference.layer_totals(i.profile()),
     "largest_tables": lambda i: reference.largest_tables(i.profile(), 5, ["lineitem"]),
     "incremental_equals_full": incremental_query,

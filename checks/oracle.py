@@ -801,6 +801,13 @@ SELECT feature, round(corr(x, later), 6) AS correlation FROM (
     "incremental_sessions": "SELECT * FROM sess",
     "incremental_activity": "SELECT * FROM activity",
     "incremental_curves": "SELECT * FROM curves",
+    "sql_prices": f"""
+SELECT payment_id, received_at, coalesce(nullif(application, ''), 'unknown') AS app_name, {_store('store_name')} AS platform,
+  {_revenue_type('product_id_type', 'type')} AS revenue_type, {_gross('price', 'currencyRatesDenominator')} AS price_gross_usd,
+  {_net('price', 'currencyRatesDenominator', '0.5')} AS price_usd FROM payments""",
+    "sql_lifetimes": f"""
+SELECT {_platform('platform')} AS platform, count(*) AS lifetimes, count(*) FILTER (lifetime_end_time IS NULL) AS open_lifetimes, min(install_time) AS first_install
+FROM users_scd2 WHERE install_time < TIMESTAMP '2024-01-13' AND (lifetime_end_time IS NULL OR lifetime_end_time >= TIMESTAMP '2024-01-10') GROUP BY 1""",
     "active_users": """
 SELECT * FROM (WITH seen AS (
   SELECT DISTINCT period, cast(date_trunc(period, event_date) AS DATE) AS period_start, application, platform, user_lifetime_id,
@@ -879,6 +886,11 @@ def statements() -> dict[str, str]:
     out = {name: f"{head}\n{text.strip()}" for name, text in QUERIES.items()}
     profile = _table_profile()
     out["table_profile"] = profile
+    out["column_profile"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows_count, count(*) - count({c}) AS null_count, true AS within_error FROM {t}"
+        for t in ("customer", "orders", "lineitem", "events")
+        for c in TABLE_COLUMNS[t].split()
+    )
     out["layer_totals"] = (
         "SELECT layer, count(*) AS table_count, cast(sum(row_count) AS BIGINT) AS total_rows, "
         f"cast(sum(column_count) AS BIGINT) AS column_count FROM ({profile}) GROUP BY 1"
