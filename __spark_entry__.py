@@ -501,8 +501,20 @@ def upsert_keys_query(inp: Inputs) -> DataFrame:
     return inp.raw.spark.read.parquet(path).select(*utn.columns)
 
 
+#: Of each mart: the column that dates it, and one that is added up.
+MART_SUMS = {
+    "cohort_users": ("cohort_date", None),
+    "daily": ("event_date", "total_revenue_net"),
+    "cohort_long": ("event_date", "total_revenue_net"),
+    "utn": ("cohort_date", "clients_sdk_utn"),
+    "payers": ("cohort_date", "purchases_total"),
+    "cohort_wide": ("cohort_date", "ad_revenue_gross_utn"),
+    "curves": ("cohort_date", "total_revenue_net"),
+}
+
+
 def built_marts_query(inp: Inputs) -> DataFrame:
-    """All marts built as stored tables in order; one month of each is read back and counted."""
+    """All marts built as stored tables in order and read back whole: rows and a sum of each day."""
     inputs = {
         "lifetimes": inp.stored("lifetimes"),
         "activity": inp.stored("activity"),
@@ -512,16 +524,18 @@ def built_marts_query(inp: Inputs) -> DataFrame:
         "costs": inp.costs(),
     }
     paths = build_marts(inp.raw.spark, inputs, CONFIG, FULL, inp.stage.folder())
-    months = {"cohort_users": "month", "cohort_long": "month", "utn": "month", "payers": "month", "curves": "month"}
 
-    def january(name: str) -> DataFrame:
-        df = inp.raw.spark.read.parquet(paths[name])
-        if name in months:
-            return df.filter(F.col("month").cast("string") == "202401")
-        return df.filter(F.col("event_date" if name == "daily" else "cohort_date").between("2024-01-01", "2024-01-31"))
+    def sums(name: str) -> DataFrame:
+        day, amount = MART_SUMS[name]
+        total = F.sum(amount) if amount else F.lit(0)
+        return (
+            inp.raw.spark.read.parquet(paths[name])
+            .groupBy(F.col(day).cast("date").alias("day"))
+            .agg(F.count(F.lit(1)).alias("rows_count"), total.cast("decimal(18,8)").alias("total"))
+            .withColumn("table_name", F.lit(name))
+        )
 
-    counts = [january(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows_count")) for n in paths]
-    return padded_union(counts)
+    return padded_union([sums(name) for name in paths])
 
 
 def trusted_time_query(inp: Inputs) -> DataFrame:

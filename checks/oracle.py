@@ -821,14 +821,18 @@ GROUP BY 1, 2, 3, 4)""",
     "upsert_partitions": _NULLABLE_UTN,
     "upsert_keys": _NULLABLE_UTN,
     "published_partitions": _NULLABLE_UTN,
-    "built_marts": """
-SELECT 'cohort_users' AS table_name, count(*) AS rows_count FROM users WHERE cohort_date < DATE '2024-02-01'
-UNION ALL SELECT 'daily', count(*) FROM daily WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
-UNION ALL SELECT 'cohort_long', count(*) FROM cohort_long WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
-UNION ALL SELECT 'utn', count(*) FROM utn WHERE cohort_date < DATE '2024-02-01'
-UNION ALL SELECT 'payers', count(*) FROM payers WHERE cohort_date < DATE '2024-02-01'
-UNION ALL SELECT 'cohort_wide', count(*) FROM cohort_wide WHERE cohort_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
-UNION ALL SELECT 'curves', count(*) FROM curves WHERE cohort_date < DATE '2024-02-01'""",
+    "built_marts": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, cast({day} AS DATE) AS day, count(*) AS rows_count, cast({total} AS {MONEY}) AS total FROM {table} GROUP BY 2"
+        for name, table, day, total in (
+            ("cohort_users", "users", "cohort_date", "0"),
+            ("daily", "daily", "event_date", "sum(total_revenue_net)"),
+            ("cohort_long", "cohort_long", "event_date", "sum(total_revenue_net)"),
+            ("utn", "utn", "cohort_date", "sum(clients_sdk_utn)"),
+            ("payers", "payers", "cohort_date", "sum(purchases_total)"),
+            ("cohort_wide", "cohort_wide", "cohort_date", "sum(ad_revenue_gross_utn)"),
+            ("curves", "curves", "cohort_date", "sum(total_revenue_net)"),
+        )
+    ),
     "trusted_times": """
 SELECT cast(event_time AS DATE) AS event_date, count(*) AS rows_count, feed FROM session_events,
   (SELECT unnest(['session_events', 'transactions', 'session_bounds', 'ad_impressions', 'installs', 'reinstalls', 'purchases',
