@@ -16,7 +16,7 @@ from installarc.operators.lookup import attach, rate_lookup
 from installarc.operators.overlap import overlap_join
 from installarc.operators.shape import padded_union
 from installarc.operators.timeline import asof_join, interval_join
-from installarc.plans import active, attribution, cohorts, curves, profile, purchases, reference, revenue, sessions, subscriptions
+from installarc.plans import active, attribution, cohorts, curves, payloads, profile, purchases, reference, revenue, sessions, subscriptions
 from installarc.plans.build import build_marts
 from installarc.settings import MartConfig, RunWindow, prepare
 from installarc.sources.changes import changed_days, newest_change, rebuild_changed
@@ -413,6 +413,23 @@ def sql_lifetimes_query(inp: Inputs) -> DataFrame:
     )
 
 
+def odd_payloads(inp: Inputs) -> DataFrame:
+    """Campaign snapshots of which some have their blocks deeper, numbers as text, or a payload cut short."""
+    odd = F.length("payload") % 4
+    deeper = F.concat(F.lit('{"data":[{"v2":'), "payload", F.lit("}]}"))
+    as_text = F.replace("payload", F.lit('"DE":1.5'), F.lit('"DE":"1.5"'))
+    shown = F.when(odd == 1, deeper).when(odd == 2, as_text).when(odd == 3, F.expr("left(payload, length(payload) - 3)"))
+    return inp.raw["snapshots_raw"].distinct().withColumn("payload", F.coalesce(shown, F.col("payload")))
+
+
+def odd_payload_query(inp: Inputs) -> DataFrame:
+    """Country blocks of payloads of any shape, and how many of each campaign are broken."""
+    rows = inp.stage(odd_payloads(inp))
+    found = payloads.named_blocks(rows, ["account_id", "snapshot_ts", "campaign_id"])
+    broken = payloads.broken_payloads(rows, ["account_id", "campaign_id"]).withColumn("kind", F.lit("payloads"))
+    return padded_union([found, broken])
+
+
 PROFILED = {"customer": None, "orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
 
@@ -613,6 +630,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "source_compare": source_compare_query,
     "feature_corr": feature_corr_query,
     "table_profile": Inputs.profile,
+    "odd_payloads": odd_payload_query,
     "column_profile": column_profile_query,
     "sql_prices": sql_prices_query,
     "sql_lifetimes": sql_lifetimes_query,

@@ -801,6 +801,14 @@ SELECT feature, round(corr(x, later), 6) AS correlation FROM (
     "incremental_sessions": "SELECT * FROM sess",
     "incremental_activity": "SELECT * FROM activity",
     "incremental_curves": "SELECT * FROM curves",
+    "odd_payloads": """
+SELECT account_id, snapshot_ts, campaign_id, kind, country_code, cast(json_extract_string(payload, path || '."' || country_code || '"') AS DOUBLE) AS amount,
+  cast(NULL AS BIGINT) AS rows_count, cast(NULL AS BIGINT) AS broken_count
+FROM (SELECT *, unnest(json_keys(payload, path)) AS country_code
+  FROM snaps, (VALUES ('goal', '$.goal.country_code_to_goal_value'), ('budget', '$.budget.country_code_to_daily_budget')) b(kind, path)
+  WHERE length(payload) % 4 <> 3)
+UNION ALL
+SELECT account_id, NULL, campaign_id, 'payloads', NULL, NULL, count(*), count(*) FILTER (length(payload) % 4 = 3) FROM snaps GROUP BY 1, 3""",
     "sql_prices": f"""
 SELECT payment_id, received_at, coalesce(nullif(application, ''), 'unknown') AS app_name, {_store('store_name')} AS platform,
   {_revenue_type('product_id_type', 'type')} AS revenue_type, {_gross('price', 'currencyRatesDenominator')} AS price_gross_usd,
