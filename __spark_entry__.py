@@ -16,7 +16,7 @@ from installarc.operators.lookup import attach, rate_lookup
 from installarc.operators.overlap import overlap_join
 from installarc.operators.shape import padded_union
 from installarc.operators.timeline import asof_join, interval_join
-from installarc.plans import active, attribution, cohorts, curves, payloads, profile, purchases, reference, revenue, sessions, subscriptions
+from installarc.plans import active, attribution, cohorts, curves, features, payloads, profile, purchases, reference, revenue, sessions, subscriptions
 from installarc.plans.build import build_marts
 from installarc.settings import MartConfig, RunWindow, prepare
 from installarc.sources.changes import changed_days, newest_change, rebuild_changed
@@ -317,10 +317,16 @@ def source_compare_query(inp: Inputs) -> DataFrame:
     )
 
 
+def feature_pairs_query(inp: Inputs) -> DataFrame:
+    """All pairs of 178 features: every daily metric on the first six days, and later sums."""
+    out = features.feature_pairs(inp.daily(), 6, RUN_DATE, inp.stage)
+    return out.withColumns({c: F.round(c, 6) for c in ("pearson", "spearman")})
+
+
 def feature_corr_query(inp: Inputs) -> DataFrame:
     signals = cohorts.early_signals(inp.daily(), 2)
-    features = [c for c in signals.columns if c.startswith("early_")]
-    out = reference.feature_correlation(signals, features, "later_revenue")
+    early = [c for c in signals.columns if c.startswith("early_")]
+    out = reference.feature_correlation(signals, early, "later_revenue")
     return out.withColumn("correlation", F.round("correlation", 6))
 
 
@@ -629,6 +635,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "source_compare": source_compare_query,
     "feature_corr": feature_corr_query,
+    "feature_pairs": feature_pairs_query,
     "table_profile": Inputs.profile,
     "odd_payloads": odd_payload_query,
     "column_profile": column_profile_query,

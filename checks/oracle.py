@@ -49,6 +49,18 @@ TOTALS = ["total_revenue_gross", "total_revenue_net"]
 BUCKETS = [0, 1, 2, 3, 7, 14, 30, 180, 360]
 
 
+_EARLY_DAYS = 6
+_LATER = ["sessions_count", "purchases", "ad_impressions", "total_revenue_net"]
+
+
+def _feature_cells():
+    """Lists of (place, name, value) of all features of one lifetime in the aggregate over its days."""
+    cells = [(f"{m}_d{d}", d, f"sum({m}) FILTER (day_idx = {d})") for m in [*SESSION, *BUYS, *ADS, *CASH, *TOTALS] for d in range(_EARLY_DAYS)]
+    cells += [(f"{m}_later", _EARLY_DAYS, f"sum({m}) FILTER (day_idx >= {_EARLY_DAYS})") for m in _LATER]
+    values = [f"CASE WHEN {RUN} - min(cohort_date) > {day} THEN coalesce(cast({value} AS DOUBLE), 0) END" for _, day, value in cells]
+    return f"unnest(range({len(cells)})) AS place, unnest([{', '.join(repr(c[0]) for c in cells)}]) AS name, unnest([{', '.join(values)}]) AS x"
+
+
 def _list(names, prefix=""):
     return ", ".join(prefix + n for n in names)
 
@@ -681,6 +693,11 @@ _NULLABLE_UTN = f"SELECT * REPLACE ({_UNKNOWN}, nullif(cohort_date, DATE '2024-0
 _HELD = """inapp e {join} users_scd2 u ON e.app_name = u.app_name AND e.client_id = u.client_id AND event_time >= install_time
     AND (lifetime_end_time IS NULL OR event_time < lifetime_end_time + INTERVAL 3 DAY)"""
 
+CTES["feature_ranks"] = f"""
+SELECT *, rank() OVER (PARTITION BY place ORDER BY x) + (count(*) OVER (PARTITION BY place, x) - 1) / 2.0 AS r
+FROM (SELECT user_lifetime_id, {_feature_cells()} FROM daily GROUP BY 1) WHERE x IS NOT NULL"""
+
+
 QUERIES: dict[str, str] = {
     "scd2_lifetimes": f"""
 SELECT app_name, client_id, app_name || '|' || client_id || '|' || {STAMP} AS user_lifetime_id,
@@ -796,6 +813,13 @@ SELECT feature, round(corr(x, later), 6) AS correlation FROM (
       coalesce(sum(ad_impressions) FILTER (day_idx < 2), 0) AS f4, coalesce(sum(total_revenue_net) FILTER (day_idx < 2), 0) AS f5,
       coalesce(sum(total_revenue_net) FILTER (day_idx >= 2), 0) AS later FROM daily GROUP BY 1)
 ) GROUP BY 1""",
+    "feature_pairs": """
+SELECT feature_a, feature_b, count(user_lifetime_id) AS rows_count,
+  round(CASE WHEN min(xa) < max(xa) AND min(xb) < max(xb) THEN covar_pop(xa, xb) / nullif(stddev_pop(xa) * stddev_pop(xb), 0) END, 6) AS pearson,
+  round(CASE WHEN min(ra) < max(ra) AND min(rb) < max(rb) THEN covar_pop(ra, rb) / nullif(stddev_pop(ra) * stddev_pop(rb), 0) END, 6) AS spearman
+FROM (SELECT a.name AS feature_a, b.name AS feature_b, a.user_lifetime_id, a.x AS xa, b.x AS xb, cast(a.r AS DOUBLE) AS ra, cast(b.r AS DOUBLE) AS rb
+  FROM feature_ranks a JOIN feature_ranks b ON a.user_lifetime_id = b.user_lifetime_id AND a.place < b.place)
+GROUP BY 1, 2""",
     "incremental_equals_full": _DAILY_SUMS,
     "late_data_equals_full": _DAILY_SUMS,
     "incremental_sessions": "SELECT * FROM sess",
