@@ -19,6 +19,7 @@ from installarc.operators.timeline import asof_join, interval_join
 from installarc.plans import active, attribution, cohorts, curves, features, payloads, profile, purchases, reference, revenue, sessions, subscriptions
 from installarc.plans.build import build_marts
 from installarc.settings import MartConfig, RunWindow, prepare
+from installarc.sources.bucketed import match_pair, write_pair
 from installarc.sources.changes import changed_days, newest_change, rebuild_changed
 from installarc.sources.published import publish_partitions
 from installarc.sources.sample import BASE_TABLES, Sample
@@ -222,6 +223,16 @@ def interval_query(inp: Inputs) -> DataFrame:
     return found.select(*USER, "event_name", "event_time", "price", "user_lifetime_id", "user_lifetime_number")
 
 
+def bucketed_query(inp: Inputs) -> DataFrame:
+    """Purchases in lifetimes, both stored in buckets of clients.."""
+    keys = ["app_name", "client_id"]
+    bought = inp.raw["inapp"].select(*keys, "event_name", "event_time", "price")
+    spans = inp.stored("lifetimes").select(*keys, "install_time", "lifetime_end_time", "user_lifetime_id", "user_lifetime_number")
+    name = f"owned_{uuid.uuid4().hex[:12]}"
+    pair = write_pair(bought, spans, name, keys, "event_time", "install_time", "lifetime_end_time", 16, inp.stage)
+    return match_pair(inp.raw.spark, pair, ["user_lifetime_id", "user_lifetime_number"])
+
+
 def overlap_query(inp: Inputs) -> DataFrame:
     """Purchases in the lifetimes that run or ended less than three days before: every one, and the one begun last."""
     spans = inp.stored("lifetimes").withColumn("until", F.col("lifetime_end_time") + F.expr("INTERVAL 3 DAYS"))
@@ -591,6 +602,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "scd2_lifetimes": lambda i: attribution.install_lifetimes(i.stored("attribution_events")),
     "asof_join": asof_query,
     "interval_join": interval_query,
+    "bucketed_join": bucketed_query,
     "overlap_join": overlap_query,
     "date_range_join": date_range_query,
     "active_lifetimes": active_lifetimes_query,

@@ -698,6 +698,11 @@ SELECT *, rank() OVER (PARTITION BY place ORDER BY x) + (count(*) OVER (PARTITIO
 FROM (SELECT user_lifetime_id, {_feature_cells()} FROM daily GROUP BY 1) WHERE x IS NOT NULL"""
 
 
+_OWNED = """
+SELECT i.app_name, i.client_id, event_name, event_time, price, u.user_lifetime_id, u.user_lifetime_number
+FROM inapp i JOIN users_scd2 u ON i.app_name = u.app_name AND i.client_id = u.client_id
+  AND event_time >= install_time AND (lifetime_end_time IS NULL OR event_time < lifetime_end_time)"""
+
 QUERIES: dict[str, str] = {
     "scd2_lifetimes": f"""
 SELECT app_name, client_id, app_name || '|' || client_id || '|' || {STAMP} AS user_lifetime_id,
@@ -716,10 +721,8 @@ SELECT app_name, client_id, event_name, event_time, price, user_lifetime_id, ins
   SELECT e.*, u.user_lifetime_id, u.install_time, row_number() OVER (PARTITION BY e.n ORDER BY u.install_time DESC NULLS LAST, u.user_lifetime_id DESC) AS nth
   FROM {_HELD.format(join='LEFT JOIN').replace('inapp e', '(SELECT *, row_number() OVER () AS n FROM inapp) e')}
 ) WHERE nth = 1""",
-    "interval_join": """
-SELECT i.app_name, i.client_id, event_name, event_time, price, u.user_lifetime_id, u.user_lifetime_number
-FROM inapp i JOIN users_scd2 u ON i.app_name = u.app_name AND i.client_id = u.client_id
-  AND event_time >= install_time AND (lifetime_end_time IS NULL OR event_time < lifetime_end_time)""",
+    "interval_join": _OWNED,
+    "bucketed_join": _OWNED,
     "date_range_join": """
 SELECT event_date, application, client_id, user_lifetime_id, ad_impressions, ad_revenue_gross FROM ads_owned""",
     "active_lifetimes": f"""
