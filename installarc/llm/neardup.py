@@ -120,12 +120,14 @@ def _sketch(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
                     names=["doc", "key", "n", "h1", "h2", "sketch"],
                 )
 
+    kind = docs.schema[doc_id].dataType
+    kind = T.LongType() if isinstance(kind, T.IntegralType) else kind
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc"),
+        F.col(doc_id).cast(kind).alias("doc"),
         content_key(F.col(doc_id), F.col(text)).cast(KEY).alias("key"),
         F.col(text).cast("binary").alias("body"),
     )
-    return rows.mapInArrow(sketch, f"doc long, key {KEY}, n long, h1 long, h2 long, sketch binary")
+    return rows.mapInArrow(sketch, f"doc {kind.simpleString()}, key {KEY}, n long, h1 long, h2 long, sketch binary")
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -276,7 +278,8 @@ def near_duplicates(
 
     NULL or empty texts, and those of blanks only, have no shingles and no links. A NULL id is no component's
     name unless there is no other; such rows are kept only then. Repeated rows share a component and are kept or not
-    alike. An empty table gives an empty result. Other columns are ignored.
+    alike. An empty table gives an empty result. Other columns are ignored. Ids keep their type, whole numbers as long; text
+    ids are ordered as text. A very long text is one row of a task, read whole.
     """
     stage = stage_for(docs)
     sketched = stage(_sketch(docs, words, doc_id, text))
@@ -311,6 +314,6 @@ def near_duplicates(
 
 def representatives(found: DataFrame) -> DataFrame:
     """Keys of the documents that stay: the one with the smallest id of each component, all without shingles."""
-    order = F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)), "key")
+    order = F.struct(F.col("doc").isNull(), "doc", "key")
     grouped = found.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min_by("key", order).alias("key"))
     return grouped.select("key").unionByName(found.filter(F.col("component").isNull()).select("key"))

@@ -82,3 +82,13 @@ def test_components_of_a_long_chain(spark):
     edges = edges.unionByName(spark.createDataFrame([(900, 800), (800, 850), (7, 7)], "a long, b long"))
     got = {r["node"]: r["label"] for r in components(edges, stage_for(edges)).collect()}
     assert got == {i: 0 for i in range(301)} | {900: 800, 850: 800, 800: 800}
+
+
+def test_text_ids(spark):
+    same = " ".join(f"word{i}" for i in range(20))
+    rows = [("b-1", same), ("a-2", same + "."), ("a-1", same), (None, same), ("z", None), ("y", "alone here it is by itself")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    found = neardup.near_duplicates(df, words=3, percent=80)
+    got = {r["doc"]: (r["component_id"], r["kept"]) for r in found.collect()}
+    assert got == {"b-1": ("a-1", False), "a-2": ("a-1", False), "a-1": ("a-1", True), None: ("a-1", False), "z": ("z", True), "y": ("y", True)}
+    assert sorted(r["key"]["id"] for r in neardup.representatives(found).collect()) == ["a-1", "y", "z"]
