@@ -47,6 +47,14 @@ class Codes:
         return out / np.sqrt(self.width) / self.fit
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Each row times the power of two that brings its largest component near 1.
+
+    That is exact and changes no cosine, but squares of very large or very small components would be infinite or 0 without it.
+    """
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
 def lengths(rows: np.ndarray) -> np.ndarray:
     return np.sqrt(np.add.accumulate(rows * rows, axis=1)[:, -1])
 
@@ -105,7 +113,7 @@ def search(
 
     Each row but the query's own is a candidate; a query with fewer candidates gets all. Vectors that are NULL,
     zero or hold a NULL or non-finite component take no part, nor do rows without id; only vectors of one width
-    are compared. Rows that repeat an id and its vector count once. An empty table gives an empty result.
+    are compared, however large or small their finite components are. Rows that repeat an id and its vector count once. An empty table gives an empty result.
     Other columns are ignored.
     """
     stage = stage_for(vectors)
@@ -139,7 +147,7 @@ def search(
     def compare(indexed: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if indexed.empty or asked.empty:
             return pd.DataFrame({"query_id": [], "class": [], "score": []})
-        found = nearest_in_block(np.stack(asked["v"]), np.stack(indexed["v"]), k + 1, deviations)
+        found = nearest_in_block(scaled(np.stack(asked["v"])), scaled(np.stack(indexed["v"])), k + 1, deviations)
         classes = indexed["class"].to_numpy()
         return pd.DataFrame(
             {

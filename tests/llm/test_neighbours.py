@@ -39,6 +39,22 @@ def test_ties_odd_vectors_and_blocks(spark):
     assert neighbours.search(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_extreme_components(spark):
+    rows = [(0, [1e300, 1e300]), (1, [1e-300, 0.0]), (2, [3e-320, 3e-320]), (3, [-1e308, 1e308]), (4, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.search(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [2, 4, 1, 3]
+    assert np.allclose([r["score"] for r in got], [1.0, 3 / 10**0.5, 0.5**0.5, 0.0], atol=1e-12)
+
+
+def test_scaling_changes_no_score():
+    v = np.random.default_rng(6).normal(size=(300, 64)) * 10.0 ** np.arange(-150, 150)[:, None] / 1e3
+    v = v[100:200]
+    plain = neighbours.cosines(v[0], v, neighbours.lengths(v))
+    small = neighbours.scaled(v)
+    assert (neighbours.cosines(small[0], small, neighbours.lengths(small)) == plain).all()
+
+
 def test_bound_holds():
     rng = np.random.default_rng(5)
     v = rng.normal(size=(400, 64))
