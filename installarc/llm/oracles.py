@@ -70,11 +70,23 @@ RULE_ROWS = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, pa
 TWO_LABELS = "'co.uk','org.uk','ac.uk','com.au','co.jp','co.nz','com.br','co.in','co.za','com.cn'"
 
 
+TRIALS = 33
+
+
+def _trials(source: str, low: str, high: str) -> str:
+    """The log likelihood of each trial value of the outcomes' correlation within the groups of a level."""
+    return f"""select k, x, round(sum(lgamma(bad + w * m) - lgamma(w * m) + lgamma(n - bad + w - w * m) - lgamma(w - w * m) - lgamma(n + w) + lgamma(w)), 6) as fit
+      from (select *, 1 / x - 1 as w from (select k, {low} * pow({high} / {low}, k / {TRIALS - 1}.0::double) as x from range({TRIALS}) t(k))),
+        (select * from {source} where n > 1 and m between 1e-12 and 1 - 1e-12) group by k, x"""
+
+
 def shrunk(source: str) -> str:
-    """A level's posterior: the prior's weight from moments, then mean and deviation."""
-    alike = f"""(select case when coalesce(sum(n * (n - 1) * m * (1 - m)), 0) = 0 then 0.1
-      else least(greatest(sum(pow(bad - n * m, 2) - n * m * (1 - m)) / sum(n * (n - 1) * m * (1 - m)), 0.0001), 0.5) end from {source})"""
-    return f"select *, (w * m + bad) / (w + n) as mean from (select *, 1.0::double / {alike} - 1.0 as w from {source})"
+    """A level's posterior: the correlation of the largest beta-binomial likelihood, of a coarse row and of a finer one; then the mean."""
+    coarse = f"select x, lag(x, 1, x) over (order by k) as lower, lead(x, 1, x) over (order by k) as upper, k, fit from ({_trials(source, '0.0001::double', '0.5::double')})"
+    best = f"select * from ({coarse}) order by fit desc, k limit 1"
+    fine = _trials(source, f"(select lower from ({best}))", f"(select upper from ({best}))")
+    return f"""select *, (w * m + bad) / (w + n) as mean from (
+      select *, 1 / coalesce((select x from ({fine}) order by fit desc, k limit 1), 0.1) - 1 as w from {source})"""
 
 
 REPUTATION = f"""

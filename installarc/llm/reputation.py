@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from installarc.llm.common import lower_ascii, stage_for
+from installarc.llm.common import fresh, lower_ascii, stage_for
 
 #: Common public suffixes of two labels; any other last label is a suffix by itself.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in", "co.za", "com.cn")
@@ -169,16 +169,17 @@ def judge(
     added = ["host", "path", "rule", "verdict", "basis", "bad_low"]
     kept = [c for c in pages.columns if c.lower() not in added]
     parsed = pages.select(*kept, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
+    labelled, bad, own, fit, low = (fresh(f"_{name}", pages.columns) for name in ("labelled", "bad", "own_host", "fit", "low"))
     known = (
         outcomes.filter(F.col(page_id).isNotNull() & F.col("bad").isNotNull())
-        .groupBy(F.col(page_id).alias("_labelled"))
-        .agg(F.max(F.col("bad").cast("long")).alias("_bad"))
+        .groupBy(F.col(page_id).alias(labelled))
+        .agg(F.max(F.col("bad").cast("long")).alias(bad))
     )
     hosts = stage(
         parsed.select(page_id, "host")
-        .join(known, F.col(page_id) == F.col("_labelled"), "left")
+        .join(known, F.col(page_id) == F.col(labelled), "left")
         .groupBy("host")
-        .agg(F.count("_bad").alias("n"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad"))
+        .agg(F.count(bad).alias("n"), F.coalesce(F.sum(bad), F.lit(0)).alias("bad"))
     )
     fits = [
         F.when(
@@ -192,18 +193,18 @@ def judge(
         for r in rules
     ]
     best = F.array_max(F.array(*fits)) if fits else F.lit(None).cast("struct<length:int,verdict:string,rule:string>")
-    judged = host_reputation(hosts, prior).select(F.col("host").alias("_host"), "low")
-    by_host = F.when(F.col("low") > prior.max_bad, "block").otherwise("allow")
+    judged = host_reputation(hosts, prior).select(F.col("host").alias(own), F.col("low").alias(low))
+    by_host = F.when(F.col(low) > prior.max_bad, "block").otherwise("allow")
     return (
-        parsed.join(judged, F.col("host") == F.col("_host"))
-        .withColumn("_fit", best)
+        parsed.join(judged, F.col("host") == F.col(own))
+        .withColumn(fit, best)
         .select(
             *kept,
             "host",
             "path",
-            F.col("_fit.rule").alias("rule"),
-            F.coalesce(F.col("_fit.verdict"), by_host).alias("verdict"),
-            F.when(F.col("_fit").isNull(), "reputation").otherwise("rule").alias("basis"),
-            F.col("low").alias("bad_low"),
+            F.col(fit)["rule"].alias("rule"),
+            F.coalesce(F.col(fit)["verdict"], by_host).alias("verdict"),
+            F.when(F.col(fit).isNull(), "reputation").otherwise("rule").alias("basis"),
+            F.col(low).alias("bad_low"),
         )
     )

@@ -1,8 +1,12 @@
 import math
 import random
 
+import duckdb
+from pyspark.sql import functions as F
+
+from checks.compare import compare
 from installarc.llm import reputation
-from installarc.llm.queries import RULES
+from installarc.llm.queries import ORACLES, RULES, op6_host_reputation
 
 
 def judged(spark, urls, outcomes=(), **more):
@@ -11,6 +15,38 @@ def judged(spark, urls, outcomes=(), **more):
     return {r["page_id"]: r for r in reputation.judge(pages, labels, RULES, **more).collect()}
 
 
+def test_blocking_equals_sql(spark, tmp_path):
+    rng, urls, bad = random.Random(3), [], []
+    for host in range(60):
+        share = rng.choice([0.02, 0.1, 0.97])
+        suffix = rng.choice(["org", "co.uk", "de"])
+        for i in range(rng.choice([1, 3, 40])):
+            urls.append(f"http://h{host}.d{host % 25}.{suffix}/{i}")
+            bad.append(int(rng.random() < share))
+    urls += [f"http://hot.org/{i}" for i in range(3000)] + ["http://10.0.0.1:8/x", None, "none"]
+    bad += [int(rng.random() < 0.05) for _ in range(3000)] + [1, 1, 0]
+    for name, rows, schema in (
+        ("pages", list(enumerate(urls)), "page_id long, url string"),
+        ("labels", [(i, 1, b) for i, b in enumerate(bad) if i % 7], "doc_id long, quality int, toxic int"),
+    ):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    found = op6_host_reputation(spark, str(tmp_path))
+    assert compare(found, con, ORACLES["op6_host_reputation"]) == []
+    assert found.filter("basis = 'reputation' and verdict = 'block'").select("host").distinct().count() >= 5
+
+
+def test_clashing_names(spark):
+    names = ["_host", "_labelled", "_bad", "_fit", "_low", "_own_host", "low", "n", "bad", "Host"]
+    pages = spark.createDataFrame([(1, "http://a.org/x"), (1, "http://a.org/x")], "page_id long, url string")
+    pages = pages.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    outcomes = spark.createDataFrame([(1, 1, 5)], "page_id long, bad int, _fit int")
+    got = reputation.judge(pages, outcomes, RULES).collect()
+    assert len(got) == 2 and got[0]["_fit"] == 3 and got[0]["host"] == "a.org" and got[0]["rule"] is None
+
+
 def test_rules(spark):
     urls = [
         "http://Example.COM/en/x?q",
