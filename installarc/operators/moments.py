@@ -1,8 +1,8 @@
 """Correlations of all pairs of numeric columns: moments in one pass per block pair, and ranks of whole columns.
 
 Missing values are NULL, NaN and infinities. A pair is judged over the rows in which both columns are there; a pair without two
-such rows, or with a column that doesn't vary in them, has the correlation NULL. Nothing but one mean for each column
-reaches the driver.
+such rows, or with a column that doesn't vary in them, has the correlation NULL. Nothing but one mean and at most ``FREQUENT``
+values for each column reaches the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,26 +110,76 @@ def average_ranks(values: DataFrame, group: str, value: str, stage: Callable[[Da
     return running.select(group, value, "rows_count", (last - (F.col("rows_count") - 1) / 2).alias("average_rank"))
 
 
+def _frequent(weighed: DataFrame, columns: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The frequent values of each column, ascending, and their ranks: at most ``FREQUENT`` of a column."""
+    often = weighed.filter("_often").select("_f", "_v", "average_rank").toArrow()
+    f, v, rank = (c.to_numpy() for c in often.columns)
+    order = np.lexsort((v, f))
+    ends = np.searchsorted(f[order], np.arange(1, columns))
+    return list(zip(np.split(v[order], ends), np.split(rank[order], ends)))
+
+
+def _known_ranks(values: pa.Array, known: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Values of one column, NaN where missing, and their ranks, NaN where the frequent values don't hold them."""
+    x, (kept, ranks) = values.to_numpy(zero_copy_only=False).astype(float), known
+    if not len(kept):
+        return x, np.full(len(x), np.nan)
+    at = np.minimum(np.searchsorted(kept, x), len(kept) - 1)
+    return x, np.where(kept[at] == x, ranks[at], np.nan)
+
+
+def _rare_cells(often: Sequence[tuple[np.ndarray, np.ndarray]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function: (_row, _f, _v) of the cells that are there and aren't frequent, from the row's number and its columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found = batch.column(0).to_numpy(), []
+            for i, known in enumerate(often):
+                x, ranks = _known_ranks(batch.column(i + 1), known)
+                at = np.flatnonzero(~np.isnan(x) & np.isnan(ranks))
+                found.append((rows[at], np.full(len(at), i, dtype=np.int32), x[at]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["_row", "_f", "_v"])
+
+    return run
+
+
+def _put_ranks(often: Sequence[tuple[np.ndarray, np.ndarray]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function: the ranks of rows, from their columns and, last, the list of their rare cells' (_f, _rank)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch.column(len(often))
+            table = np.array([_known_ranks(batch.column(i), known)[1] for i, known in enumerate(often)])
+            f, rank = pc.list_flatten(cells).flatten()
+            table[f.to_numpy(), pc.list_parent_indices(cells).to_numpy()] = rank.to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(c, from_pandas=True) for c in table], names=[f"_{i}" for i in range(len(often))])
+
+    return run
+
+
 def ranked(df: DataFrame, features: Sequence[str], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The columns of ``features`` as average ranks, one row for each row of ``df`` that has any value; missing values stay NULL.
 
-    Values are stacked, ranked and gathered again by row. Frequent values, at most ``FREQUENT`` of each column, meet their rank by
-    a broadcast of that proven size; the rest by a shuffle in which no key has more than one row in ``FREQUENT``.
+    Values are stacked to be counted and ranked; what is shuffled for that is counts. Frequent values, at most ``FREQUENT`` of each
+    column, take their ranks inside the row's own task. Only the other cells meet their ranks by a shuffle, in which no key has more
+    than one row in ``FREQUENT``, and come back to their row as one short list.
     """
-    rows = stage(df.select(F.monotonically_increasing_id().alias("_row"), *[_finite(f).alias(f"_{i}") for i, f in enumerate(features)]))
-    cells = F.array(*[F.struct(F.lit(i).alias("_f"), F.col(f"_{i}").alias("_v")) for i in range(len(features))])
-    long = rows.select("_row", F.inline(cells)).filter(F.col("_v").isNotNull())
+    names = [f"_{i}" for i in range(len(features))]
+    finite = [_finite(f).alias(n) for f, n in zip(features, names)]
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), *finite)
+    rows = stage(rows.filter(F.coalesce(*names).isNotNull()))
+    cells = F.array(*[F.struct(F.lit(i).alias("_f"), F.col(n).alias("_v")) for i, n in enumerate(names)])
+    long = rows.select(F.inline(cells)).filter(F.col("_v").isNotNull())
     ranks = stage(average_ranks(long, "_f", "_v", stage))
     totals = ranks.groupBy("_f").agg(F.sum("rows_count").alias("_all"))
     weighed = ranks.join(F.broadcast(totals), "_f").withColumn("_often", F.col("rows_count") * FREQUENT >= F.col("_all"))
-    often = weighed.filter("_often").select("_f", "_v", F.col("average_rank").alias("_hit"))
-    rare = weighed.filter("NOT _often").select(F.col("_f").alias("_key"), "_v", F.col("average_rank").alias("_rare"))
-    # A row that has its rank takes a key that no value has, so it is spread instead of meeting in one place.
-    met = long.join(F.broadcast(often), ["_f", "_v"], "left")
-    met = met.withColumn("_key", F.when(F.col("_hit").isNull(), F.col("_f")).otherwise(-1 - F.pmod(F.xxhash64("_row", "_f"), F.lit(1 << 30))).cast("int"))
-    found = met.join(rare, ["_key", "_v"], "left").select("_row", "_f", F.coalesce("_hit", "_rare").alias("_rank"))
-    wide = found.groupBy("_row").agg(*[F.max(F.when(F.col("_f") == i, F.col("_rank"))).alias(f) for i, f in enumerate(features)])
-    return wide.drop("_row")
+    often = _frequent(weighed, len(names))
+    rare = weighed.filter("NOT _often").select("_f", "_v", F.col("average_rank").alias("_rank"))
+    met = rows.mapInArrow(_rare_cells(often), "_row long, _f int, _v double").join(rare, ["_f", "_v"])
+    # Placed by row first: a sum on the sending side finds hardly two cells of a row together.
+    found = met.select("_row", "_f", "_rank").repartition("_row").groupBy("_row").agg(F.collect_list(F.struct("_f", "_rank")).alias("_cells"))
+    wide = rows.join(found, "_row", "left").select(*names, "_cells")
+    return wide.mapInArrow(_put_ranks(often), ", ".join(f"{n} double" for n in names)).toDF(*features)
 
 
 def rank_correlations(df: DataFrame, features: Sequence[str], stage: Callable[[DataFrame], DataFrame], block: int = BLOCK) -> DataFrame:

@@ -77,3 +77,36 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "a double, b double")
     assert rank_correlations(df, ["a", "b"], Staging(spark)).collect() == []
     assert pair_correlations(df, ["a", "b"]).collect() == []
+
+
+def _shuffled(plan) -> int:
+    """Rows that the shuffles of an executed plan wrote."""
+    name, found = plan.nodeName(), 0
+    if name.startswith("AdaptiveSparkPlan"):
+        return _shuffled(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return _shuffled(plan.plan())
+    if name == "Exchange":
+        found = plan.metrics().apply("shuffleRecordsWritten").value()
+    return found + sum(_shuffled(plan.children().apply(i)) for i in range(plan.children().length()))
+
+
+def test_frequent_cells_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(moments, "FREQUENT", 10)
+    rng, rows, columns = np.random.default_rng(3), 500, 30
+    x = np.where(rng.random((rows, columns)) < 0.9, 0.0, rng.normal(size=(rows, columns)))
+    x[:20, :3] = np.nan
+    pdf = pd.DataFrame(x, columns=[f"c.{i}" for i in range(columns)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = moments.ranked(spark.createDataFrame(pdf).repartition(4), list(pdf.columns), Staging(spark))
+        found = np.array([list(r) for r in got.collect()], dtype=float)
+        shuffled = _shuffled(got._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    key = lambda t: sorted(map(tuple, np.nan_to_num(t, nan=-1.0).tolist()))
+    assert key(found) == key(pdf.rank().to_numpy())
+    rare = int((np.nan_to_num(x) != 0).sum())
+    most = rows + 3 * rare + 10 * columns  # rows; rare cells by value and by row, ranks of rare values; totals of columns
+    assert 0 < shuffled <= most < rows * columns
